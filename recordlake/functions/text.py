@@ -1,16 +1,12 @@
-"""Text forms of lake values, as Column expressions: JSON text, RFC 3339 times and plain decimal numbers.
+"""Text forms of lake values as SQL expressions: JSON text, RFC 3339 times and plain decimal numbers.
 
-Everything here is built from JVM-side functions, so it stays inside the
-generated code of whichever stage uses it.
+Each function takes the SQL text of a value and gives the SQL text of the
+result.  Written as SQL a whole select list reaches the JVM in one call, where
+building it from column objects takes thousands.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Characters that are written as escapes inside JSON strings.
 _ESCAPES = (
     ("&", r"\u0026"),
@@ -19,73 +15,75 @@ _ESCAPES = (
     ("\u2028", r"\u2028"),
     ("\u2029", r"\u2029"),
 )
-_NEEDS_ESCAPE = "[&<>\u2028\u2029]"
 
 # Date-time texts that name one instant.  A text without an offset is taken as UTC.
-RFC3339_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?(Z|[+-][0-9]{2}:[0-9]{2})?$"
+RFC3339_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?(Z|[+-][0-9]{2}:[0-9]{2})?$"
+
+
+def literal(text: str) -> str:
+    """A text as an SQL string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")
+    return f"'{escaped}'"
 
 
-def escape_json(text: Column) -> Column:
+def escape_json(text: str) -> str:
     """JSON text with ``&``, ``<``, ``>`` and the two Unicode line separators written as escapes.
 
     Those characters can only stand inside strings of a JSON text, so replacing
-    them anywhere keeps its value.  Texts that hold none of them are passed on.
+    them anywhere keeps its value.
     """
-    escaped = reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), _ESCAPES, text)
-    return F.when(text.rlike(_NEEDS_ESCAPE), escaped).otherwise(text)
+    for plain, written in _ESCAPES:
+        text = f"replace({text}, {literal(plain)}, {literal(written)})"
+    return text
 
 
-def json_map(tags: Column) -> Column:
+def json_map(tags: str) -> str:
     """A string map as a JSON object with its keys in order; absent or empty is ``{}``, never ``null``.
 
     Sorted keys make redelivered copies of an event byte-identical.
     """
-    ordered = F.to_json(F.map_from_entries(F.array_sort(F.map_entries(tags))))
-    return F.when(F.size(tags) > 0, escape_json(ordered)).otherwise(F.lit("{}"))
+    ordered = f"to_json(map_from_entries(array_sort(map_entries({tags}))))"
+    return f"CASE WHEN size({tags}) > 0 THEN {escape_json(ordered)} ELSE '{{}}' END"
 
 
-def json_list(items: Column) -> Column:
+def json_list(items: str) -> str:
     """A string list as a JSON array; absent or empty is ``[]``."""
-    return F.when(F.size(items) > 0, escape_json(F.to_json(items))).otherwise(F.lit("[]"))
+    return f"CASE WHEN size({items}) > 0 THEN {escape_json(f'to_json({items})')} ELSE '[]' END"
 
 
-def parse_instant(text: Column) -> Column:
+def json_string(text: str) -> str:
+    """A text as a quoted JSON string."""
+    listed = f"to_json(array({text}))"
+    return escape_json(f"substring({listed}, 2, length({listed}) - 2)")
+
+
+def parse_instant(text: str) -> str:
     """An RFC 3339 text as a UTC TIMESTAMP_NTZ; NULL when it is not one.
 
     The pattern is checked first because a plain cast also takes ``12:30:00``
     and would put today's date on it.  The text is brought to one that carries
     an offset, so the result does not hang on the session time zone.
     """
-    upper = F.upper(text)
-    zoned = upper.endswith("Z") | F.substring(upper, -6, 1).isin("+", "-")
-    instant = F.when(upper.rlike(RFC3339_PATTERN), F.when(zoned, upper).otherwise(F.concat(upper, F.lit("Z"))))
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.try_cast("timestamp").cast("timestamp_ntz"))
+    zoned = f"CASE WHEN endswith({text}, 'Z') OR substring({text}, -6, 1) IN ('+', '-') THEN {text} ELSE concat({text}, 'Z') END"
+    instant = f"try_cast(CASE WHEN {text} RLIKE r'{RFC3339_PATTERN}' THEN {zoned} END AS TIMESTAMP)"
+    return f"convert_timezone(current_timezone(), 'UTC', CAST({instant} AS TIMESTAMP_NTZ))"
 
 
-def rfc3339(time: Column) -> Column:
+def rfc3339(time: str) -> str:
     """A UTC TIMESTAMP_NTZ as RFC 3339 text: no trailing zeros in the fraction, ``Z`` at the end."""
-    return F.concat(F.replace(time.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
+    return f"concat(replace(CAST({time} AS STRING), ' ', 'T'), 'Z')"
 
 
-def json_number(value: Column) -> Column:
+def json_number(value: str) -> str:
     """A double the way JSON prints it: plain digits from 1e-6 up to 1e21, an exponent outside, no ``.0``."""
-    short = value.cast("string")
-    mantissa = F.regexp_replace(F.substring_index(short, "E", 1), r"\.0$", "")
-    power = F.substring_index(short, "E", -1)
-    size = F.abs(value)
-    plain = value.try_cast("decimal(38,16)").cast("string")
-    small = value.try_cast("decimal(38,30)").cast("string")
-    trimmed = lambda t: F.regexp_replace(t, r"\.?0+$", "")
-    return (
-        F.when(F.isnan(value) | (size == F.lit(float("inf"))), F.lit(None).cast("string"))
-        .when(~short.contains("E"), F.regexp_replace(short, r"\.0$", ""))
-        .when((size >= 1e-6) & (size < 1e-3), trimmed(small))
-        .when((size >= 1e7) & (size < 1e21), trimmed(plain))
-        .otherwise(F.concat(mantissa, F.lit("e"), F.when(power.startswith("-"), power).otherwise(F.concat(F.lit("+"), power))))
-    )
-
-
-def json_string(text: Column) -> Column:
-    """A text as a quoted JSON string."""
-    listed = F.to_json(F.array(text))
-    return escape_json(F.substring(listed, F.lit(2), F.length(listed) - 2))
+    short = f"CAST({value} AS STRING)"
+    power = f"substring_index({short}, 'E', -1)"
+    whole = lambda text: f"regexp_replace({text}, r'\\.0$', '')"
+    trimmed = lambda text: f"regexp_replace({text}, r'\\.?0+$', '')"
+    return f"""CASE
+      WHEN isnan({value}) OR abs({value}) = double('Infinity') THEN CAST(NULL AS STRING)
+      WHEN NOT contains({short}, 'E') THEN {whole(short)}
+      WHEN abs({value}) >= 1e-6D AND abs({value}) < 1e-3D THEN {trimmed(f"CAST(try_cast({value} AS DECIMAL(38, 30)) AS STRING)")}
+      WHEN abs({value}) >= 1e7D AND abs({value}) < 1e21D THEN {trimmed(f"CAST(try_cast({value} AS DECIMAL(38, 16)) AS STRING)")}
+      ELSE concat({whole(f"substring_index({short}, 'E', 1)")}, 'e', if(startswith({power}, '-'), '', '+'), {power})
+    END"""

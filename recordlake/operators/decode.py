@@ -6,9 +6,11 @@ event as raw JSON text; the second parses one event at a time.  A single typed
 parse would flag the whole message for one bad event, and the blast radius of a
 bad event has to be that event.
 
-Splitting writes each event back from its parsed form: every field and value is
-kept, unknown fields included, while spacing goes and numbers are spelled as a
-double spells them.  An unreadable message keeps its bytes untouched.
+A rejected event keeps its bytes where its message is plain compact JSON.  In a
+message that is spaced or spelled otherwise, splitting writes each event back
+from its parsed form: every field and value is kept, unknown fields included,
+and numbers are spelled as a double spells them.  An unreadable message keeps
+its bytes untouched.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordlake.functions.text import json_list, json_map, parse_instant
+from recordlake.functions.text import json_list, json_map, literal, parse_instant
 from recordlake.schema import COLUMNS, REJECT_SCHEMA, TEXT_LIST, TEXT_MAP, LakeColumn, event_schema
 
 #: One message is ``{"events":[...]}``.
@@ -38,35 +40,51 @@ ERR_UTF8 = "message is not valid UTF-8"
 ERR_MESSAGE = "message is not a JSON object"
 ERR_EVENTS = "events is not a list"
 ERR_ENVELOPE = "message is not a batch of events"
+ERR_UNCLEAR = "events cannot be told from quoted texts"
 HINT_BINARY = " (the payload does not start like JSON; this stream carries JSON text)"
 
 #: A time equal to this is an unset time, not a date.
 ZERO_TIME = "0001-01-01 00:00:00"
 
-_CORRUPT = "_corrupt"
-_STRICT_JSON = {
-    "columnNameOfCorruptRecord": _CORRUPT,
-    "allowSingleQuotes": "false",
-    "allowNonNumericNumbers": "false",
-}
+_STRICT = "map('columnNameOfCorruptRecord', '_corrupt', 'allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
+
+#: The SQL text of a message's payload.
+_TEXT = "CAST(payload AS STRING)"
 
 # What a number too large for a double turns into when its event is written back.
 _OVERFLOW = 'Infinity"'
 
-# A list element that is itself a quoted text holding an object.
-_QUOTED_OBJECT = r'[\[,]\s*"\s*[\\{]'
+_ZERO = {
+    T.StringType(): "''",
+    T.LongType(): "0L",
+    T.IntegerType(): "0",
+    T.DoubleType(): "0D",
+    T.BooleanType(): "false",
+}
+
 
-_ZERO = {T.StringType(): "", T.LongType(): 0, T.IntegerType(): 0, T.DoubleType(): 0.0, T.BooleanType(): False}
+def _from_json(text: str, shape: str) -> str:
+    return f"from_json({text}, '{shape}', {_STRICT})"
 
 
-def _parsed(text: Column) -> Column:
+def _parsed(text: str) -> str:
     """One event's JSON text as a struct, with ``_corrupt`` set when it does not fit the schema."""
-    schema = event_schema().add(T.StructField(_CORRUPT, T.StringType()))
-    return F.from_json(text, schema, _STRICT_JSON)
+    schema = event_schema().add(T.StructField("_corrupt", T.StringType()))
+    return _from_json(text, schema.simpleString())
 
 
-def _hint(text: Column) -> Column:
-    return F.when(F.ltrim(text).rlike(r"^[\[{]"), "").otherwise(HINT_BINARY)
+# The fault of a message as a whole is looked for by parsing it as the value of a key that another key
+# follows: a message with anything after its object then fails to parse, where a bare parse would stop at
+# the end of the object and drop the rest unseen.
+_ONE_VALUE = _from_json(f"""concat('{{"message":', {_TEXT}, ',"tail":1}}')""", "tail int") + ".tail <=> 1"
+_KEYS = f"json_object_keys({_TEXT})"
+_HINT = f"if(ltrim({_TEXT}) RLIKE r'^[\\[{{]', '', {literal(HINT_BINARY)})"
+_NOT_TEXT = f"NOT coalesce(is_valid_utf8({_TEXT}), false)"
+_NOT_OBJECT = f"{_KEYS} IS NULL OR NOT ({_ONE_VALUE})"
+
+# True when a list in the message could hold a quoted object; three plain searches spare most messages the pattern.
+_SUSPECT = f"""((contains({_TEXT}, '"{{') OR contains({_TEXT}, r'"\\') OR contains({_TEXT}, '" '))
+  AND {_TEXT} RLIKE r'[\\[,]\\s*"\\s*[\\\\{{]')"""
 
 
 def _carried(raw: DataFrame) -> list[str]:
@@ -76,125 +94,96 @@ def _carried(raw: DataFrame) -> list[str]:
 def _split(raw: DataFrame) -> DataFrame:
     """Each message with ``_fault`` (why it is unreadable) and ``_events`` (its events as raw text).
 
+    Putting the parts of a plain batch back together gives the message again,
+    byte for byte, and that proves all there is to check: no other keys, nothing
+    after the object, no element but objects.  Only a message that differs, if
+    just in its spacing, is looked at more closely.
+
+    Splitting takes the quotes off an element that is a string, and a quoted
+    ``"{...}"`` would then pass for an event.  Messages that could hold such an
+    element are opened as variants too, which know what each element is.
+
     The message bytes go on as ``_whole`` only where a reject may need them:
     carried along, they would be copied once for every event of the message.
-
-    The message is parsed as the value of a key that another key follows: a
-    message with anything after its object then fails to parse, where a bare
-    parse would stop at the end of the object and drop the rest unseen.
     """
-    text = F.col("payload").cast("string")
-    shape = f"message struct<events array<string>>, tail int, {_CORRUPT} string"
-    framed = F.concat(F.lit('{"message":'), text, F.lit(',"tail":1}'))
-    split = raw.select(
-        "*",
-        F.from_json(framed, shape, _STRICT_JSON).alias("_framed"),
-        F.json_object_keys(text).alias("_keys"),
-    )
-    keys, body = F.col("_keys"), F.col("_framed")
-    is_text = text.isNotNull() & F.is_valid_utf8(text)
-    is_object = keys.isNotNull() & (F.col("_framed.tail") == 1)
-    fault = (
-        F.when(~F.coalesce(is_text, F.lit(False)), F.lit(ERR_UTF8 + HINT_BINARY))
-        .when(~F.coalesce(is_object, F.lit(False)), F.concat(F.lit(ERR_MESSAGE), _hint(text)))
-        .when((F.size(keys) > 1) | (F.array_position(keys, "events") != F.size(keys)), F.lit(ERR_ENVELOPE))
-        .when(body[_CORRUPT].isNotNull(), F.lit(ERR_EVENTS))
-    )
-    events = body["message"]["events"]
-    altered = F.exists(events, lambda e: e.contains(_OVERFLOW))
-    return split.select(
+    split = raw.selectExpr("*", f"{_from_json(_TEXT, 'events array<string>')}.events AS _parts")
+    same = f"""concat('{{"events":[', array_join(_parts, ','), ']}}') = {_TEXT}"""
+    judged = split.selectExpr("*", f"coalesce({same}, false) AS _plain")
+    odd = "exists(_parts, e -> e IS NULL OR NOT startswith(e, '{'))"
+    variants = f"{_from_json(_TEXT, 'events array<variant>')}.events"
+    opened = judged.selectExpr("*", f"CASE WHEN NOT _plain AND ({odd} OR {_SUSPECT}) THEN {variants} END AS _variants")
+    fault = f"""CASE
+      WHEN _plain THEN NULL
+      WHEN {_NOT_TEXT} THEN {literal(ERR_UTF8 + HINT_BINARY)}
+      WHEN {_NOT_OBJECT} THEN concat({literal(ERR_MESSAGE)}, {_HINT})
+      WHEN size({_KEYS}) > 1 OR array_position({_KEYS}, 'events') <> size({_KEYS}) THEN {literal(ERR_ENVELOPE)}
+      WHEN _parts IS NULL AND get_json_object({_TEXT}, '$.events') IS NOT NULL THEN {literal(ERR_EVENTS)}
+      WHEN _parts IS NOT NULL AND _variants IS NULL AND {_SUSPECT} THEN {literal(ERR_UNCLEAR)}
+    END"""
+    quoted = "CASE WHEN schema_of_variant(get(_variants, i)) = 'STRING' THEN to_json(get(_variants, i)) END"
+    events = f"""CASE
+      WHEN _plain THEN _parts
+      WHEN _fault IS NULL AND (_variants IS NOT NULL OR exists(_parts, e -> e IS NULL))
+        THEN transform(_parts, (e, i) -> coalesce({quoted}, e, 'null'))
+      WHEN _fault IS NULL THEN _parts
+    END"""
+    altered = f"exists(_parts, e -> contains(e, {literal(_OVERFLOW)}))"
+    return opened.selectExpr("*", f"{fault} AS _fault").selectExpr(
         *_carried(raw),
-        fault.alias("_fault"),
-        _element_texts(text, events).alias("_events"),
-        F.when(fault.isNotNull() | altered, F.col("payload")).alias("_whole"),
-    )
-
-
-def _element_texts(text: Column, events: Column) -> Column:
-    """The raw text of each list element, with quoted texts keeping their quotes.
-
-    Splitting a list into strings takes the quotes off an element that is a
-    string, and a quoted ``"{...}"`` would then pass for an event.  Messages
-    that could hold such an element are looked at once more, as variants.
-    """
-    element = T.ArrayType(T.VariantType())
-    shape = T.StructType([T.StructField("events", element)])
-    quoted = F.transform(
-        F.from_json(text, shape, _STRICT_JSON)["events"],
-        lambda v: F.when(F.schema_of_variant(v) == "STRING", F.to_json(v)),
+        "_fault",
+        f"{events} AS _events",
+        f"CASE WHEN NOT _plain AND (_fault IS NOT NULL OR {altered}) THEN payload END AS _whole",
     )
-    kept = F.transform(events, lambda e, i: F.coalesce(F.get(quoted, i), e, F.lit("null")))
-    suspect = (text.contains('"{') | text.contains('"\\') | text.contains('" ')) & text.rlike(_QUOTED_OBJECT)
-    odd = F.exists(events, lambda e: e.isNull() | ~e.startswith("{"))
-    return F.when(odd | suspect, kept).otherwise(events)
 
 
-def _unfit(event: Column, time: Column) -> Column:
+def _unfit(event: str, time: str) -> str:
     """True when the text did not parse into the event schema, a time that is no time included."""
-    tags = event["tags"]
-    keys = F.map_keys(tags)
-    repeated_or_null = (F.size(F.array_distinct(keys)) != F.size(keys)) | F.exists(F.map_values(tags), F.isnull)
-    lists = [F.exists(event[c.source], F.isnull) for c in COLUMNS if c.wire == TEXT_LIST]
+    keys = f"map_keys({event}.tags)"
     checks = [
-        event.isNull(),
-        event[_CORRUPT].isNotNull(),
-        (F.size(tags) > 0) & repeated_or_null,
-        (event["time"] != "") & time.isNull(),
-        ~(F.abs(event["cost_usd"]) < F.lit(float("inf"))),
-        *lists,
+        f"{event} IS NULL",
+        f"{event}._corrupt IS NOT NULL",
+        f"size({event}.tags) > 0 AND (size(array_distinct({keys})) <> size({keys}) OR exists(map_values({event}.tags), v -> v IS NULL))",
+        f"{event}.time <> '' AND {time} IS NULL",
+        f"NOT abs({event}.cost_usd) < double('Infinity')",
+        *(f"exists({event}.{c.source}, v -> v IS NULL)" for c in COLUMNS if c.wire == TEXT_LIST),
     ]
-    found = F.lit(False)
-    for check in checks:
-        found = found | F.coalesce(check, F.lit(False))
-    return found
+    return " OR ".join(f"coalesce({check}, false)" for check in checks)
 
 
-def _reason(event: Column, time: Column) -> Column:
+def _reason(event: str, time: str) -> str:
     """The one reason an event is rejected for, in the order parse, id, time; NULL for a good event."""
-    return (
-        F.when(_unfit(event, time), F.lit(UNMARSHAL))
-        .when(F.coalesce(event["event_id"], F.lit("")) == "", F.lit(NO_EVENT_ID))
-        .when(time.isNull() | (time == F.lit(ZERO_TIME).cast("timestamp_ntz")), F.lit(NO_TIME))
-    )
+    return f"""CASE
+      WHEN {_unfit(event, time)} THEN '{UNMARSHAL}'
+      WHEN coalesce({event}.event_id, '') = '' THEN '{NO_EVENT_ID}'
+      WHEN {time} IS NULL OR {time} = TIMESTAMP_NTZ '{ZERO_TIME}' THEN '{NO_TIME}'
+    END"""
 
 
-def _lake_value(event: Column, time: Column, column: LakeColumn) -> Column:
-    """One lake column of an event: absent fields take the zero value of their type, never NULL."""
+def _lake_value(column: LakeColumn) -> str:
+    """One lake column of ``_event``: absent fields take the zero value of their type, never NULL."""
     if column.name == "time":
-        return time
-    value = event
-    for part in column.source.split("."):
-        value = value[part]
+        return "_time"
+    value = f"_event.{column.source}"
     if column.wire == TEXT_MAP:
         return json_map(value)
     if column.wire == TEXT_LIST:
         return json_list(value)
-    return F.coalesce(value, F.lit(_ZERO[column.dtype]))
+    return f"coalesce({value}, {_ZERO[column.dtype]})"
 
 
 def _batches(raw: DataFrame, keep_empty: bool) -> DataFrame:
-    fault = F.col("_fault")
-    parts = F.when(fault.isNotNull(), F.array(F.lit(None).cast("string"))).otherwise(
-        F.coalesce(F.col("_events"), F.array().cast("array<string>"))
-    )
-    explode = F.posexplode_outer if keep_empty else F.posexplode
-    spread = _split(raw).select(*_carried(raw), "_fault", "_whole", explode(parts).alias("_pos", "_text"))
-    idx = F.when(fault.isNotNull(), F.lit(-1)).otherwise(F.col("_pos"))
-    return spread.select(*_carried(raw), idx.alias("idx"), "_fault", "_whole", "_text")
+    parts = "CASE WHEN _fault IS NOT NULL THEN array(CAST(NULL AS STRING)) ELSE coalesce(_events, array()) END"
+    explode = "posexplode_outer" if keep_empty else "posexplode"
+    spread = _split(raw).selectExpr(*_carried(raw), "_fault", "_whole", f"{explode}({parts}) AS (_pos, _text)")
+    return spread.selectExpr(*_carried(raw), "if(_fault IS NOT NULL, -1, _pos) AS idx", "_fault", "_whole", "_text")
 
 
 def _singles(raw: DataFrame) -> DataFrame:
-    text = F.col("payload").cast("string")
-    framed = F.concat(F.lit('{"message":'), text, F.lit(',"tail":1}'))
-    read = raw.select("*", F.from_json(framed, "tail int", _STRICT_JSON).alias("_framed"))
-    is_object = F.is_valid_utf8(text) & F.json_object_keys(text).isNotNull() & (F.col("_framed.tail") == 1)
-    fault = F.when(~F.coalesce(is_object, F.lit(False)), F.concat(F.lit(ERR_MESSAGE), _hint(text)))
-    return read.select(
-        *_carried(raw), F.lit(-1).alias("idx"), fault.alias("_fault"), F.col("payload").alias("_whole"), text.alias("_text")
-    )
+    fault = f"CASE WHEN {_NOT_TEXT} OR {_NOT_OBJECT} THEN concat({literal(ERR_MESSAGE)}, {_HINT}) END"
+    return raw.selectExpr(*_carried(raw), "-1 AS idx", f"{fault} AS _fault", "payload AS _whole", f"{_TEXT} AS _text")
 
 
-def _events(raw: DataFrame, envelope: str, keep_empty: bool) -> DataFrame:
+def event_texts(raw: DataFrame, envelope: str, keep_empty: bool = False) -> DataFrame:
     """One record per event: ``idx`` and ``_text``, or ``_fault`` with idx -1 for an unreadable message."""
     if envelope == BATCH:
         return _batches(raw, keep_empty)
@@ -215,64 +204,53 @@ def decode(raw: DataFrame, envelope: str, keep_empty: bool = False) -> DataFrame
     whose ``idx``, ``row`` and ``reason`` are NULL, so that messages can be
     counted without a second pass over the source.
     """
-    events = _events(raw, envelope, keep_empty)
-    parsed = events.select("*", F.when(F.col("_fault").isNull(), _parsed(F.col("_text"))).alias("_event"))
-    event, fault, text, time = F.col("_event"), F.col("_fault"), F.col("_text"), F.col("_time")
-    timed = parsed.select("*", parse_instant(event["time"]).alias("_time"))
-    reason = F.when(F.col("idx").isNull(), F.lit(None)).when(fault.isNotNull(), F.lit(UNMARSHAL)).otherwise(_reason(event, time))
-    judged = timed.select("*", reason.alias("reason"))
-    reason = F.col("reason")
-    good = reason.isNull() & F.col("idx").isNotNull()
-    row = F.when(good, F.struct(*[_lake_value(event, time, c).alias(c.name) for c in COLUMNS]))
-    error = (
-        F.when(fault.isNotNull(), fault)
-        .when(reason == UNMARSHAL, F.lit(ERR_EVENT))
-        .when(reason == NO_EVENT_ID, F.lit(ERR_NO_EVENT_ID))
-        .when(reason == NO_TIME, F.lit(ERR_NO_TIME))
-    )
-    payload = F.when(reason.isNotNull(), F.coalesce(F.col("_whole"), F.encode(text, "UTF-8")))
-    return judged.select(
+    events = event_texts(raw, envelope, keep_empty)
+    parsed = events.selectExpr("*", f"CASE WHEN _fault IS NULL THEN {_parsed('_text')} END AS _event")
+    timed = parsed.selectExpr("*", f"{parse_instant('_event.time')} AS _time")
+    reason = f"CASE WHEN idx IS NULL THEN NULL WHEN _fault IS NOT NULL THEN '{UNMARSHAL}' ELSE {_reason('_event', '_time')} END"
+    cells = ", ".join(f"'{c.name}', {_lake_value(c)}" for c in COLUMNS)
+    error = f"""CASE
+      WHEN _fault IS NOT NULL THEN _fault
+      WHEN reason = '{UNMARSHAL}' THEN {literal(ERR_EVENT)}
+      WHEN reason = '{NO_EVENT_ID}' THEN {literal(ERR_NO_EVENT_ID)}
+      WHEN reason = '{NO_TIME}' THEN {literal(ERR_NO_TIME)}
+    END"""
+    return timed.selectExpr("*", f"{reason} AS reason").selectExpr(
         "stream",
         "subject",
         "seq",
         "idx",
-        row.alias("row"),
+        f"CASE WHEN reason IS NULL AND idx IS NOT NULL THEN named_struct({cells}) END AS row",
         "reason",
-        error.alias("error"),
-        payload.alias("payload"),
+        f"{error} AS error",
+        "CASE WHEN reason IS NOT NULL THEN coalesce(_whole, encode(_text, 'UTF-8')) END AS payload",
     )
 
 
-def _spread(decoded: DataFrame, keep: Column, record: Column, *beside: str) -> DataFrame:
-    """``record`` spread into columns wherever ``keep`` holds.
+def to_rows(decoded: DataFrame, *beside: str) -> DataFrame:
+    """The rows of a decoded table: the 40 lake columns in order, after the columns named in ``beside``.
 
-    A filter would say the same, but the optimizer moves filters below the
-    parse by copying the parse into them.  A generator it leaves in place.
+    A filter on ``row`` would say the same, but the optimizer moves filters
+    below the parse by copying the parse into them.  A generator stays put.
     """
-    return decoded.select(*beside, F.inline(F.when(keep, F.array(record))))
-
-
-def to_rows(decoded: DataFrame, *beside: str) -> DataFrame:
-    """The rows of a decoded table: the 40 lake columns in order, after the columns named in ``beside``."""
-    return _spread(decoded, F.col("row").isNotNull(), F.col("row"), *beside)
+    return decoded.selectExpr(*beside, "inline(CASE WHEN row IS NOT NULL THEN array(row) END)")
 
 
 def to_rejects(decoded: DataFrame) -> DataFrame:
     """The rejects of a decoded table, in ``REJECT_SCHEMA``."""
-    told = F.struct("idx", "reason", "error", "payload")
-    found = _spread(decoded, F.col("reason").isNotNull(), told, "stream", "subject", "seq")
+    told = "named_struct('idx', idx, 'reason', reason, 'error', error, 'payload', payload)"
+    found = decoded.selectExpr("stream", "subject", "seq", f"inline(CASE WHEN reason IS NOT NULL THEN array({told}) END)")
     return found.select(*REJECT_SCHEMA.fieldNames())
 
 
-def render_reject(idx: Column, reason: Column, error: Column) -> Column:
+def render_reject() -> Column:
     """``event N: reason: error``, or ``reason: error`` for a whole message."""
-    told = F.concat(reason, F.lit(": "), error)
-    return F.when(idx < 0, told).otherwise(F.concat(F.lit("event "), idx.cast("string"), F.lit(": "), told))
+    return F.expr("concat(if(idx < 0, '', concat('event ', idx, ': ')), reason, ': ', error)")
 
 
 def with_rendered(rejects: DataFrame) -> DataFrame:
     """Adds ``rendered``, the one-line form of each reject."""
-    return rejects.withColumn("rendered", render_reject(F.col("idx"), F.col("reason"), F.col("error")))
+    return rejects.select("*", render_reject().alias("rendered"))
 
 
 def dispositions(raw: DataFrame, envelope: str) -> DataFrame:
@@ -283,25 +261,20 @@ def dispositions(raw: DataFrame, envelope: str) -> DataFrame:
     message, so two copies of a message stay two and nothing is shuffled.
     """
     if envelope == BATCH:
-        split = _split(raw)
-        texts = F.coalesce(F.col("_events"), F.array().cast("array<string>"))
+        split, texts = _split(raw), "coalesce(_events, array())"
     else:
-        split = _singles(raw)
-        texts = F.array("_text")
-    reasons = F.transform(
-        F.transform(
-            F.transform(texts, _parsed),
-            lambda event: F.struct(event.alias("event"), parse_instant(event["time"]).alias("time")),
-        ),
-        lambda read: _reason(read["event"], read["time"]),
+        split, texts = event_texts(raw, envelope), "array(_text)"
+    read = f"transform(transform({texts}, t -> {_parsed('t')}), e -> named_struct('event', e, 'time', {parse_instant('e.time')}))"
+    reasons = f"transform({read}, r -> {_reason('r.event', 'r.time')})"
+    counted = split.selectExpr("stream", "subject", "seq", "_fault", f"CASE WHEN _fault IS NULL THEN {reasons} END AS _reasons")
+    tallied = counted.selectExpr(
+        "stream",
+        "subject",
+        "seq",
+        "CAST(if(_fault IS NOT NULL, 0, size(filter(_reasons, r -> r IS NULL))) AS BIGINT) AS rows",
+        "CAST(if(_fault IS NOT NULL, 1, size(filter(_reasons, r -> r IS NOT NULL))) AS BIGINT) AS rejects",
     )
-    counted = split.select("stream", "subject", "seq", "_fault", F.when(F.col("_fault").isNull(), reasons).alias("_reasons"))
-    fault, found = F.col("_fault"), F.col("_reasons")
-    rows = F.when(fault.isNotNull(), 0).otherwise(F.size(F.filter(found, F.isnull)))
-    rejects = F.when(fault.isNotNull(), 1).otherwise(F.size(F.filter(found, F.isnotnull)))
-    return counted.select(
-        "stream", "subject", "seq", rows.cast("long").alias("rows"), rejects.cast("long").alias("rejects")
-    ).withColumn("disposition", F.when((F.col("rows") == 0) & (F.col("rejects") > 0), "term").otherwise("ack"))
+    return tallied.selectExpr("*", "if(rows = 0 AND rejects > 0, 'term', 'ack') AS disposition")
 
 
 def flush_stats(decoded: DataFrame) -> DataFrame:
@@ -311,11 +284,10 @@ def flush_stats(decoded: DataFrame) -> DataFrame:
     record whose ``idx`` is NULL, -1 or 0.  Sequence 0 means unknown and is left
     out of the range.
     """
-    known = F.when(F.col("seq") > 0, F.col("seq"))
-    return decoded.agg(
-        F.coalesce(F.min(known), F.lit(0)).alias("first_seq"),
-        F.coalesce(F.max(known), F.lit(0)).alias("last_seq"),
-        F.count_if(F.coalesce(F.col("idx"), F.lit(0)) <= 0).alias("messages"),
-        F.count("row").alias("rows"),
-        F.count("reason").alias("rejects"),
+    return decoded.selectExpr(
+        "coalesce(min(seq) FILTER (WHERE seq > 0), 0) AS first_seq",
+        "coalesce(max(seq) FILTER (WHERE seq > 0), 0) AS last_seq",
+        "count_if(coalesce(idx, 0) <= 0) AS messages",
+        "count(row) AS rows",
+        "count(reason) AS rejects",
     )

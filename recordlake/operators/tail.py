@@ -7,6 +7,7 @@ import math
 import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
+from itertools import groupby
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
@@ -82,50 +83,40 @@ def where_equals(df: DataFrame, filters: Iterable[str] | Mapping[str, str]) -> D
     return df.filter(reduce(and_, tests))
 
 
-def _cell(column: LakeColumn) -> Column:
+def _cell(column: LakeColumn) -> str:
     """One column as JSON text; NULL, a column its part predates, is ``null``."""
-    value = F.col(column.name)
     if column.dtype == T.StringType():
-        text = json_string(value)
+        text = json_string(column.name)
     elif column.dtype == T.DoubleType():
-        text = json_number(value)
+        text = json_number(column.name)
     elif column.name == "time":
-        text = json_string(rfc3339(value))
+        text = json_string(rfc3339(column.name))
     else:
-        text = value.cast("string")
-    return F.when(value.isNull(), "null").otherwise(F.coalesce(text, F.lit("null")))
+        text = f"CAST({column.name} AS STRING)"
+    return f"coalesce(CASE WHEN {column.name} IS NOT NULL THEN {text} END, 'null')"
 
 
-def _object(columns: list[LakeColumn]) -> Column:
-    """The columns as one JSON object."""
-    named = [(rfc3339(F.col(c.name)) if c.name == "time" else F.col(c.name)).alias(c.name) for c in columns]
-    return escape_json(F.to_json(F.struct(*named), {"ignoreNullFields": "false"}))
+def _members(columns: list[LakeColumn]) -> str:
+    """Neighbouring columns as the inside of one JSON object, through the JSON writer."""
+    named = ", ".join(f"'{c.name}', {rfc3339(c.name) if c.name == 'time' else c.name}" for c in columns)
+    written = f"to_json(named_struct({named}), map('ignoreNullFields', 'false'))"
+    return escape_json(f"substring({written}, 2, length({written}) - 2)")
 
 
-def _compact(columns: list[LakeColumn]) -> Column:
+def _compact(columns: list[LakeColumn]) -> str:
     """All columns on one line: runs of columns through the JSON writer, doubles by their own rule between them."""
-    pieces: list[Column] = []
-    run: list[LakeColumn] = []
-
-    def close() -> None:
-        if run:
-            members = _object(list(run))
-            pieces.append(F.substring(members, F.lit(2), F.length(members) - 2))
-            run.clear()
-
-    for column in columns:
-        if column.dtype == T.DoubleType():
-            close()
-            pieces.append(F.concat(F.lit(f'"{column.name}":'), _cell(column)))
+    pieces: list[str] = []
+    for is_double, run in groupby(columns, key=lambda c: c.dtype == T.DoubleType()):
+        if is_double:
+            pieces += [f"""concat('"{c.name}":', {_cell(c)})""" for c in run]
         else:
-            run.append(column)
-    close()
-    return F.concat(F.lit("{"), F.concat_ws(",", *pieces), F.lit("}"))
+            pieces.append(_members(list(run)))
+    return f"concat('{{', concat_ws(',', {', '.join(pieces)}), '}}')"
 
 
-def _indented(columns: list[LakeColumn]) -> Column:
-    members = [F.concat(F.lit(f'  "{c.name}": '), _cell(c)) for c in columns]
-    return F.concat(F.lit("{\n"), F.concat_ws(",\n", *members), F.lit("\n}"))
+def _indented(columns: list[LakeColumn]) -> str:
+    members = ", ".join(f"""concat('  "{c.name}": ', {_cell(c)})""" for c in columns)
+    return f"concat('{{\\n', concat_ws(',\\n', {members}), '\\n}}')"
 
 
 def json_lines(rows: DataFrame, pretty: bool = False, no_detail: bool = False, beside: Iterable[str] = ()) -> DataFrame:
@@ -136,4 +127,4 @@ def json_lines(rows: DataFrame, pretty: bool = False, no_detail: bool = False, b
     """
     columns = [c for c in COLUMNS if not (no_detail and c.name == "error_detail")]
     line = _indented(columns) if pretty else _compact(columns)
-    return rows.select(*beside, line.alias("line"))
+    return rows.selectExpr(*beside, f"{line} AS line")

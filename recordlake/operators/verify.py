@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordlake.operators.decode import _events
+from recordlake.operators.decode import event_texts
 from recordlake.schema import COLUMNS, DEAD_SCHEMA, RAW_SCHEMA
 from recordlake.sinks.deadletter import DEAD_SUBJECT
 
@@ -84,18 +84,16 @@ class PolicyMismatch(Exception):
     """Tables exist with policies other than those asked for."""
 
 
-def _kind(value: Column) -> Column:
-    """The kind of a JSON value held as a variant."""
-    told = F.schema_of_variant(value)
-    return (
-        F.when(told == "STRING", "text")
-        .when(told == "BIGINT", "integer")
-        .when((told == "DOUBLE") | told.startswith("DECIMAL"), "number")
-        .when(told == "BOOLEAN", "boolean")
-        .when(told.startswith("ARRAY"), "list")
-        .when(told.startswith("OBJECT"), "object")
-        .otherwise("null")
-    )
+# The kind of a JSON value held as the variant ``member.value``.
+_KIND = """CASE
+  WHEN told = 'STRING' THEN 'text'
+  WHEN told = 'BIGINT' THEN 'integer'
+  WHEN told = 'DOUBLE' OR startswith(told, 'DECIMAL') THEN 'number'
+  WHEN told = 'BOOLEAN' THEN 'boolean'
+  WHEN startswith(told, 'ARRAY') THEN 'list'
+  WHEN startswith(told, 'OBJECT') THEN 'object'
+  ELSE 'null'
+END"""
 
 
 def observed_fields(raw: DataFrame, envelope: str) -> DataFrame:
@@ -104,15 +102,12 @@ def observed_fields(raw: DataFrame, envelope: str) -> DataFrame:
     Read from every readable event.  Fields of ``usage`` are listed one by one.
     Counts are folded per task before the shuffle, over a few dozen names.
     """
-    events = _events(raw, envelope, keep_empty=False).filter(F.col("_fault").isNull())
-    parsed = events.select(F.try_parse_json("_text").alias("event"))
-    members = lambda path: F.map_entries(F.try_variant_get("event", path, "map<string,variant>"))
-    nested = F.transform(
-        members("$.usage"), lambda m: F.struct(F.concat(F.lit("usage."), m["key"]).alias("key"), m["value"].alias("value"))
-    )
-    empty = F.slice(members("$"), 1, 0)
-    spread = parsed.select(F.explode(F.concat(members("$"), F.coalesce(nested, empty))).alias("member"))
-    named = spread.select(F.col("member.key").alias("field"), _kind(F.col("member.value")).alias("kind"))
+    parsed = event_texts(raw, envelope).selectExpr("CASE WHEN _fault IS NULL THEN try_parse_json(_text) END AS event")
+    members = "map_entries(try_variant_get(event, '$', 'map<string,variant>'))"
+    usage = "map_entries(try_variant_get(event, '$.usage', 'map<string,variant>'))"
+    nested = f"transform({usage}, m -> named_struct('key', concat('usage.', m.key), 'value', m.value))"
+    spread = parsed.selectExpr(f"inline(concat({members}, coalesce({nested}, slice({members}, 1, 0)))) AS (field, value)")
+    named = spread.selectExpr("field", "schema_of_variant(value) AS told").selectExpr("field", f"{_KIND} AS kind")
     return named.groupBy("field", "kind").agg(F.count("*").alias("events"))
 
 

@@ -19,6 +19,8 @@ SETTINGS = {
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_local_dirs: dict[str, str] = {}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply ``SETTINGS`` to a session that is already running."""
@@ -28,7 +30,11 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A single-machine session for tests and the bench; a cluster brings its own."""
+    """A single-machine session for tests and the bench; a cluster brings its own.
+
+    The advisory size fits test data, so that adaptive execution leaves work for
+    every core; at full size the default or more is right.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("recordlake")
@@ -36,6 +42,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
@@ -53,9 +60,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="recordlake-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_dirs:
+        _local_dirs[application] = tempfile.mkdtemp(prefix="recordlake-")
+    return _local_dirs[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -8,7 +8,7 @@ plain SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlake.functions.text import rfc3339
@@ -33,94 +33,65 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_faults(events: DataFrame) -> DataFrame:
     """Adds the sequence, position, message kind and fault flags every rule below is built on."""
-    eid = F.col("event_id")
-    placed = events.select(
+    placed = events.selectExpr(
         "*",
-        (F.floor(eid / PER_MESSAGE) + 1).cast("long").alias("seq"),
-        (eid % PER_MESSAGE).cast("int").alias("idx"),
-        (eid % 89 == 0).alias("f_bad"),
-        (eid % 97 == 0).alias("f_noid"),
-        (eid % 101 == 0).alias("f_notime"),
+        f"event_id div {PER_MESSAGE} + 1 AS seq",
+        f"CAST(event_id % {PER_MESSAGE} AS INT) AS idx",
+        "event_id % 89 = 0 AS f_bad",
+        "event_id % 97 = 0 AS f_noid",
+        "event_id % 101 = 0 AS f_notime",
     )
-    seq = F.col("seq")
-    kind = (
-        F.when(seq % 25 == 0, "garbage")
-        .when(seq % 40 == 7, "empty")
-        .when(seq % 40 == 13, "wrong_envelope")
-        .otherwise("batch")
-    )
-    return placed.withColumn("kind", kind)
-
-
-def _quoted(value: Column) -> Column:
-    return F.concat(F.lit('"'), value, F.lit('"'))
-
-
-def _columns() -> dict[str, Column]:
-    """The lake columns an event carries, as expressions over ``events``; the others are absent."""
-    user, kind = F.col("user_id"), F.col("event_type")
-    k = F.get_json_object("props", "$.k")
-    runner = F.concat(F.lit("runner:"), (user % 5).cast("string"))
-    return {
-        "event_id": F.concat(F.lit("ev-"), F.col("event_id").cast("string")),
-        "time": F.col("ts"),
-        "tenant": F.concat(F.lit("tenant-"), (user % 7).cast("string")),
-        "app": F.when(user % 11 == 0, "").otherwise(kind),
-        "feature": kind,
-        "run_id": F.concat(F.lit("run-"), user.cast("string")),
-        "tags_json": F.concat(F.lit('{"k":"'), k, F.lit('"}')),
-        "input_tokens": k.cast("long"),
-        "output_tokens": F.col("event_id") % 500,
-        "cost_usd": F.col("value"),
-        "latency_ms": F.col("event_id") % 1000,
-        "outcome": F.when(kind == "error", "error").otherwise("ok"),
-        "principal_subject": F.concat(F.lit("user:"), user.cast("string")),
-        "chain_depth": (user % 4).cast("int"),
-        "error_detail": F.when(kind == "error", F.concat(F.lit("user "), user.cast("string"), F.lit(" not found"))).otherwise(""),
-        "execution_subject": F.when(user % 3 == 0, runner).otherwise(""),
-    }
-
-
-def _event_text(extra: bool) -> Column:
+    kind = """CASE
+      WHEN seq % 25 = 0 THEN 'garbage'
+      WHEN seq % 40 = 7 THEN 'empty'
+      WHEN seq % 40 = 13 THEN 'wrong_envelope'
+      ELSE 'batch'
+    END"""
+    return placed.selectExpr("*", f"{kind} AS kind")
+
+
+# The lake columns an event carries, as SQL over ``events``; the others are absent.
+CARRIED = {
+    "event_id": "concat('ev-', event_id)",
+    "time": "ts",
+    "tenant": "concat('tenant-', user_id % 7)",
+    "app": "if(user_id % 11 = 0, '', event_type)",
+    "feature": "event_type",
+    "run_id": "concat('run-', user_id)",
+    "tags_json": """concat('{"k":"', get_json_object(props, '$.k'), '"}')""",
+    "input_tokens": "CAST(get_json_object(props, '$.k') AS BIGINT)",
+    "output_tokens": "event_id % 500",
+    "cost_usd": "value",
+    "latency_ms": "event_id % 1000",
+    "outcome": "if(event_type = 'error', 'error', 'ok')",
+    "principal_subject": "concat('user:', user_id)",
+    "chain_depth": "CAST(user_id % 4 AS INT)",
+    "error_detail": "if(event_type = 'error', concat('user ', user_id, ' not found'), '')",
+    "execution_subject": "if(user_id % 3 = 0, concat('runner:', user_id % 5), '')",
+}
+
+
+def _event_text(extra: bool) -> str:
     """One event as JSON text, with its fault if it has one; ``extra`` adds a field no column takes to some."""
-    c = _columns()
-    number = lambda name: c[name].cast("string")
-    parts = [
-        F.lit('{"event_id":'),
-        _quoted(F.when(F.col("f_bad") | ~F.col("f_noid"), c["event_id"]).otherwise("")),
-        F.when(F.col("f_notime") & ~F.col("f_bad") & ~F.col("f_noid"), "").otherwise(
-            F.concat(F.lit(',"time":'), _quoted(rfc3339(c["time"])))
-        ),
-        *(
-            piece
-            for name in ("tenant", "app", "feature", "run_id")
-            for piece in (F.lit(f',"{name}":'), _quoted(c[name]))
-        ),
-        F.lit(',"tags":'),
-        c["tags_json"],
-        F.lit(',"usage":{"input_tokens":'),
-        number("input_tokens"),
-        F.lit(',"output_tokens":'),
-        number("output_tokens"),
-        F.lit('},"cost_usd":'),
-        F.when(F.col("f_bad"), '"zz"').otherwise(number("cost_usd")),
-        F.lit(',"latency_ms":'),
-        number("latency_ms"),
-        F.lit(',"outcome":'),
-        _quoted(c["outcome"]),
-        F.lit(',"principal_subject":'),
-        _quoted(c["principal_subject"]),
-        F.lit(',"chain_depth":'),
-        number("chain_depth"),
-        F.lit(',"error_detail":'),
-        _quoted(c["error_detail"]),
-        F.when(F.col("ts") < F.lit(BOUNDARY).cast("timestamp_ntz"), "").otherwise(
-            F.concat(F.lit(',"execution_subject":'), _quoted(c["execution_subject"]))
-        ),
-        F.when((F.col("event_id") % 10 == 0) & F.lit(extra), ',"region":"eu"').otherwise(""),
-        F.lit("}"),
+    c = CARRIED
+    text = lambda name, value: f"""',"{name}":"', {value}, '"'"""
+    number = lambda name, value: f"""',"{name}":', CAST({value} AS STRING)"""
+    pieces = [
+        f"""'{{"event_id":"', if(f_noid AND NOT f_bad, '', {c["event_id"]}), '"'""",
+        f"""if(f_notime AND NOT f_bad AND NOT f_noid, '', concat({text("time", rfc3339(c["time"]))}))""",
+        *(text(name, c[name]) for name in ("tenant", "app", "feature", "run_id")),
+        f"""',"tags":', {c["tags_json"]}""",
+        f"""',"usage":{{"input_tokens":', {c["input_tokens"]}, ',"output_tokens":', {c["output_tokens"]}, '}}'""",
+        f"""',"cost_usd":', if(f_bad, '"zz"', CAST({c["cost_usd"]} AS STRING))""",
+        number("latency_ms", c["latency_ms"]),
+        *(text(name, c[name]) for name in ("outcome", "principal_subject")),
+        number("chain_depth", c["chain_depth"]),
+        text("error_detail", c["error_detail"]),
+        f"""if(ts < TIMESTAMP_NTZ '{BOUNDARY}', '', concat({text("execution_subject", c["execution_subject"])}))""",
+        """if(event_id % 10 = 0, ',"region":"eu"', '')""" if extra else "''",
+        "'}'",
     ]
-    return F.concat(*parts)
+    return f"concat({', '.join(pieces)})"
 
 
 def raw_messages(spark: SparkSession, sf_dir: str, envelope: str = BATCH, extra: bool = False) -> DataFrame:
@@ -129,8 +100,8 @@ def raw_messages(spark: SparkSession, sf_dir: str, envelope: str = BATCH, extra:
     With the batch envelope a hundred events share a message; with the event
     envelope every event is its own message and no grouping is needed.
     """
-    events = with_faults(events_table(spark, sf_dir)).select(
-        "seq", "idx", "kind", "ts", F.col("event_id").alias("id"), _event_text(extra).alias("text")
+    events = with_faults(events_table(spark, sf_dir)).selectExpr(
+        "seq", "idx", "kind", "ts", "event_id AS id", f"{_event_text(extra)} AS text"
     )
     if envelope == EVENT:
         return events.select(
@@ -190,11 +161,11 @@ def write_redelivered(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 def lake_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every test event as a lake row, without going through messages: absent columns at their zero values."""
-    given = _columns()
-    zero = {"string": "", "bigint": 0, "int": 0, "double": 0.0, "boolean": False}
+    zero = {"string": "''", "bigint": "0", "int": "0", "double": "0", "boolean": "false"}
     lists = {"policy_violations", "compartments_effective"}
     cells = []
     for c in COLUMNS:
-        value = given.get(c.name, F.lit("[]" if c.name in lists else zero.get(c.dtype.simpleString())))
-        cells.append(value.cast(c.dtype).alias(c.name))
-    return events_table(spark, sf_dir).select(*cells)
+        kind = c.dtype.simpleString()
+        value = CARRIED.get(c.name, "'[]'" if c.name in lists else zero.get(kind))
+        cells.append(f"CAST({value} AS {kind}) AS {c.name}")
+    return events_table(spark, sf_dir).selectExpr(*cells)

@@ -101,13 +101,7 @@ def tail(
     start, filters = _begin(since, from_start), parse_filters(filters)
     messages = filter_subject(start_at(of_stream(raw, stream), start, now), subject)
     lines = json_lines(_matching(messages, envelope, filters), pretty, no_detail, ("seq", "idx"))
-    told = F.concat(
-        F.col("subject"),
-        F.lit(" seq "),
-        F.col("seq").cast("string"),
-        F.lit(": unreadable: "),
-        render_reject(F.col("idx"), F.col("reason"), F.col("error")),
-    )
+    told = F.concat("subject", F.lit(" seq "), "seq", F.lit(": unreadable: "), render_reject())
     unreadable = to_rejects(decode(messages, envelope)).select("subject", "seq", "idx", told.alias("message"))
     return Tail(lines, unreadable)
 
