@@ -277,6 +277,16 @@ def dispositions(raw: DataFrame, envelope: str) -> DataFrame:
     return tallied.selectExpr("*", "if(rows = 0 AND rejects > 0, 'term', 'ack') AS disposition")
 
 
+# The figures of a flush, as aggregates over a decoded table.
+FLUSH_FIGURES = (
+    "coalesce(min(seq) FILTER (WHERE seq > 0), 0) AS first_seq",
+    "coalesce(max(seq) FILTER (WHERE seq > 0), 0) AS last_seq",
+    "count_if(coalesce(idx, 0) <= 0) AS messages",
+    "count(row) AS rows",
+    "count(reason) AS rejects",
+)
+
+
 def flush_stats(decoded: DataFrame) -> DataFrame:
     """One record: the sequence range over all messages, and how many messages, rows and rejects there were.
 
@@ -284,10 +294,4 @@ def flush_stats(decoded: DataFrame) -> DataFrame:
     record whose ``idx`` is NULL, -1 or 0.  Sequence 0 means unknown and is left
     out of the range.
     """
-    return decoded.selectExpr(
-        "coalesce(min(seq) FILTER (WHERE seq > 0), 0) AS first_seq",
-        "coalesce(max(seq) FILTER (WHERE seq > 0), 0) AS last_seq",
-        "count_if(coalesce(idx, 0) <= 0) AS messages",
-        "count(row) AS rows",
-        "count(reason) AS rejects",
-    )
+    return decoded.selectExpr(*FLUSH_FIGURES)

@@ -58,9 +58,13 @@ def subject_parts(df: DataFrame, base: str) -> DataFrame:
 def drop_duplicates(df: DataFrame, keys: tuple[str, ...] = ("stream", "seq"), window: str = "2 minutes") -> DataFrame:
     """Messages published more than once, kept once.
 
-    On a stream an id is remembered for ``window`` of arrival time, which bounds
-    the state; on a table all copies are in sight and the window plays no part.
+    On a table all copies are in sight and the window plays no part.  On a
+    stream an id is remembered for ``window`` of arrival time, which bounds the
+    state; like every watermark it passes over messages that arrive later than
+    that behind the newest, so use it on a stream that arrives in order.  The
+    drain does without: copies are kept there and folded by the reader.
     """
-    if df.isStreaming:
-        return df.withWatermark("published_at", window).dropDuplicatesWithinWatermark(list(keys))
-    return df.dropDuplicates(list(keys))
+    if not df.isStreaming:
+        return df.dropDuplicates(list(keys))
+    timed = df.withColumn("_arrived", F.col("published_at").cast("timestamp")).withWatermark("_arrived", window)
+    return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_arrived")

@@ -13,10 +13,9 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from recordlake.operators.decode import decode, flush_stats, to_rejects, to_rows
+from recordlake.operators.decode import FLUSH_FIGURES, decode, to_rejects, to_rows
 from recordlake.schema import FLUSH_SCHEMA
 from recordlake.sinks.deadletter import to_dead, write_dead
 from recordlake.sinks.lake import write_lake
@@ -29,6 +28,13 @@ DEFAULT_INTERVAL = "5 minutes"
 Writer = Callable[[DataFrame, int], None]
 
 
+# Where the rejects of a batch lie, so that only that stretch of the dead letters is searched for them.
+_REJECT_SPAN = (
+    "min(seq) FILTER (WHERE reason IS NOT NULL) AS first_reject",
+    "max(seq) FILTER (WHERE reason IS NOT NULL) AS last_reject",
+)
+
+
 def write_flush(spark: SparkSession, path: str, flush_id: int, stats: Row) -> None:
     """Record one flush in a directory of its own, so that a replayed batch replaces its line."""
     line = (flush_id, stats["first_seq"], stats["last_seq"], stats["messages"], stats["rows"], stats["rejects"])
@@ -63,14 +69,13 @@ def flush(
     """
     decoded = decode(batch, envelope, keep_empty=True).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats = flush_stats(decoded).first()
+        stats = decoded.selectExpr(*FLUSH_FIGURES, *_REJECT_SPAN).first()
         if stats["rejects"]:
             letters = to_dead(to_rejects(decoded), origin)
             if callable(dead):
                 dead(letters, batch_id)
             else:
-                span = decoded.filter(F.col("reason").isNotNull()).agg(F.min("seq"), F.max("seq")).first()
-                write_dead(letters, dead, (span[0], span[1]))
+                write_dead(letters, dead, (stats["first_reject"], stats["last_reject"]))
         if stats["rows"]:
             if callable(lake):
                 lake(to_rows(decoded), batch_id)
