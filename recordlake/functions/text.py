@@ -42,8 +42,8 @@ def json_map(tags: str) -> str:
 
     Sorted keys make redelivered copies of an event byte-identical.
     """
-    ordered = f"to_json(map_from_entries(array_sort(map_entries({tags}))))"
-    return f"CASE WHEN size({tags}) > 0 THEN {escape_json(ordered)} ELSE '{{}}' END"
+    ordered = f"if(size({tags}) > 1, map_from_entries(array_sort(map_entries({tags}))), {tags})"
+    return f"CASE WHEN size({tags}) > 0 THEN {escape_json(f'to_json({ordered})')} ELSE '{{}}' END"
 
 
 def json_list(items: str) -> str:

@@ -142,7 +142,8 @@ def _unfit(event: str, time: str) -> str:
     checks = [
         f"{event} IS NULL",
         f"{event}._corrupt IS NOT NULL",
-        f"size({event}.tags) > 0 AND (size(array_distinct({keys})) <> size({keys}) OR exists(map_values({event}.tags), v -> v IS NULL))",
+        f"size({event}.tags) > 1 AND size(array_distinct({keys})) <> size({keys})",
+        f"exists(map_values({event}.tags), v -> v IS NULL)",
         f"{event}.time <> '' AND {time} IS NULL",
         f"NOT abs({event}.cost_usd) < double('Infinity')",
         *(f"exists({event}.{c.source}, v -> v IS NULL)" for c in COLUMNS if c.wire == TEXT_LIST),

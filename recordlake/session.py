@@ -32,8 +32,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and the bench; a cluster brings its own.
 
-    The advisory size fits test data, so that adaptive execution leaves work for
-    every core; at full size the default or more is right.
+    The two sizes fit test data, so that adaptive execution leaves work for every
+    core; at full size the defaults or more are right.
     """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -43,6 +43,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

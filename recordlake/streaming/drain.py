@@ -20,8 +20,7 @@ from recordlake.schema import FLUSH_SCHEMA
 from recordlake.sinks.deadletter import to_dead, write_dead
 from recordlake.sinks.lake import write_lake
 
-#: Rows a flush aims for and how long one waits at most.
-DEFAULT_BATCH_ROWS = 250_000
+#: How long a record waits at most before it is queryable.
 DEFAULT_INTERVAL = "5 minutes"
 
 #: Writes one micro-batch somewhere: ``(frame, batch id)``.  It has to tolerate copies.
