@@ -7,6 +7,8 @@ building it from column objects takes thousands.
 
 from __future__ import annotations
 
+import datetime as dt
+
 # Characters that are written as escapes inside JSON strings.
 _ESCAPES = (
     ("&", r"\u0026"),
@@ -69,6 +71,18 @@ def parse_instant(text: str) -> str:
     return f"convert_timezone(current_timezone(), 'UTC', CAST({instant} AS TIMESTAMP_NTZ))"
 
 
+def instant_literal(moment: dt.datetime | None) -> str:
+    """A moment as a TIMESTAMP_NTZ literal in UTC; without a zone it is UTC already, and None is now.
+
+    Handed over as text: a Python datetime would be read in the driver's own zone.
+    """
+    if moment is None:
+        moment = dt.datetime.now(dt.timezone.utc)
+    if moment.tzinfo is not None:
+        moment = moment.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return f"TIMESTAMP_NTZ '{moment.isoformat(sep=' ')}'"
+
+
 def rfc3339(time: str) -> str:
     """A UTC TIMESTAMP_NTZ as RFC 3339 text: no trailing zeros in the fraction, ``Z`` at the end."""
     return f"concat(replace(CAST({time} AS STRING), ' ', 'T'), 'Z')"

@@ -45,6 +45,8 @@ HINT_BINARY = " (the payload does not start like JSON; this stream carries JSON
 
 #: A time equal to this is an unset time, not a date.
 ZERO_TIME = "0001-01-01 00:00:00"
+#: The last moment a four-digit year can name; a later one would have no readable partition.
+LAST_TIME = "9999-12-31 23:59:59.999999"
 
 _STRICT = "map('columnNameOfCorruptRecord', '_corrupt', 'allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
 
@@ -145,6 +147,7 @@ def _unfit(event: str, time: str) -> str:
         f"size({event}.tags) > 1 AND size(array_distinct({keys})) <> size({keys})",
         f"exists(map_values({event}.tags), v -> v IS NULL)",
         f"{event}.time <> '' AND {time} IS NULL",
+        f"{time} NOT BETWEEN TIMESTAMP_NTZ '{ZERO_TIME}' AND TIMESTAMP_NTZ '{LAST_TIME}'",
         f"NOT abs({event}.cost_usd) < double('Infinity')",
         *(f"exists({event}.{c.source}, v -> v IS NULL)" for c in COLUMNS if c.wire == TEXT_LIST),
     ]

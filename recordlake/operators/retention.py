@@ -14,6 +14,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordlake.functions.text import instant_literal
+
 #: Ranges per step: what one task has to order at most.
 FANOUT = 4096
 
@@ -44,9 +46,7 @@ def _passes(raw: DataFrame, budget: int, newest_first: bool) -> int | None:
 def _recent(raw: DataFrame, max_age: dt.timedelta | None, now: dt.datetime | None) -> DataFrame:
     if not max_age:
         return raw
-    if now is None:
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    return raw.filter(F.col("published_at") >= F.lit(now - max_age).cast("timestamp_ntz"))
+    return raw.filter(f"published_at >= {instant_literal((now or dt.datetime.now(dt.timezone.utc)) - max_age)}")
 
 
 def retain_newest(

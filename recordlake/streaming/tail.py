@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlake.functions.arguments import DEFAULT_LAST, Start, parse_filters, parse_since
+from recordlake.functions.text import instant_literal
 from recordlake.operators.decode import decode, render_reject, to_rejects, to_rows
 from recordlake.operators.tail import json_lines, where_equals
 from recordlake.sources.raw import filter_subject, raw_stream, raw_table
@@ -44,9 +45,7 @@ def last_messages(raw: DataFrame, n: int = DEFAULT_LAST) -> DataFrame:
 
 def since_age(raw: DataFrame, age: dt.timedelta, now: dt.datetime | None = None) -> DataFrame:
     """Messages that arrived within ``age`` of ``now`` (UTC; the present moment when not given)."""
-    if now is None:
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    return raw.filter(F.col("published_at") >= F.lit(now - age).cast("timestamp_ntz"))
+    return raw.filter(f"published_at >= {instant_literal((now or dt.datetime.now(dt.timezone.utc)) - age)}")
 
 
 def start_at(raw: DataFrame, start: Start, now: dt.datetime | None = None) -> DataFrame:
@@ -62,8 +61,8 @@ def _begin(since: str | int | None, from_start: bool) -> Start:
     return parse_since(since)._replace(from_start=from_start)
 
 
-def _matching(messages: DataFrame, envelope: str, filters: Iterable[str] | Mapping[str, str]) -> DataFrame:
-    return where_equals(to_rows(decode(messages, envelope), "seq", "idx"), filters)
+def _matching(decoded: DataFrame, filters: Mapping[str, str]) -> DataFrame:
+    return where_equals(to_rows(decoded, "seq", "idx"), filters)
 
 
 def tail_rows(
@@ -82,7 +81,8 @@ def tail_rows(
     is ``seq, idx``; sorting is left to whoever needs it.
     """
     start, filters = _begin(since, from_start), parse_filters(filters)
-    return _matching(filter_subject(start_at(of_stream(raw, stream), start, now), subject), envelope, filters)
+    messages = filter_subject(start_at(of_stream(raw, stream), start, now), subject)
+    return _matching(decode(messages, envelope), filters)
 
 
 def tail(
@@ -100,9 +100,10 @@ def tail(
     """Look back into a stream: a JSON line for every matching row, and a note for every unreadable event."""
     start, filters = _begin(since, from_start), parse_filters(filters)
     messages = filter_subject(start_at(of_stream(raw, stream), start, now), subject)
-    lines = json_lines(_matching(messages, envelope, filters), pretty, no_detail, ("seq", "idx"))
+    decoded = decode(messages, envelope)
+    lines = json_lines(_matching(decoded, filters), pretty, no_detail, ("seq", "idx"))
     told = F.concat("subject", F.lit(" seq "), "seq", F.lit(": unreadable: "), render_reject())
-    unreadable = to_rejects(decode(messages, envelope)).select("subject", "seq", "idx", told.alias("message"))
+    unreadable = to_rejects(decoded).select("subject", "seq", "idx", told.alias("message"))
     return Tail(lines, unreadable)
 
 
@@ -132,4 +133,5 @@ def tail_stream(
         newest = of_stream(raw_table(spark, path), stream).agg(F.max("seq")).first()[0]
         if newest is not None:
             messages = messages.filter(F.col("seq") >= newest - (start.last - 1))
-    return json_lines(_matching(filter_subject(messages, subject), envelope, filters), pretty, no_detail, ("seq", "idx"))
+    decoded = decode(filter_subject(messages, subject), envelope)
+    return json_lines(_matching(decoded, filters), pretty, no_detail, ("seq", "idx"))

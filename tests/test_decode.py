@@ -78,6 +78,13 @@ def test_an_unset_time_is_refused_and_the_epoch_is_not(messages):
     assert {b.reason for b in rejects(raw)} == {"missing_time"}
 
 
+def test_times_stay_within_four_digit_years(messages):
+    times = ["9999-12-31T23:59:59.999999Z", "9999-12-31T23:59:59-05:00", "0001-01-01T00:00:00+05:00", "0000-06-01T00:00:00Z", "0001-01-02T00:00:00Z"]
+    raw = messages(batch(*[event(f"e{i}", t) for i, t in enumerate(times)]))
+    assert [r.event_id for r in rows(raw)] == ["e0", "e4"]
+    assert {b.reason for b in rejects(raw)} == {"unmarshal"}
+
+
 def test_parse_comes_before_id_and_id_before_time(messages):
     raw = messages(batch({"event_id": "", "time": "", "cost_usd": "x"}, {"event_id": "", "time": ""}, {"event_id": " "}))
     assert [b.reason for b in rejects(raw)] == ["unmarshal", "missing_event_id", "missing_time"]
@@ -138,6 +145,15 @@ def test_a_text_that_looks_like_an_object_is_no_event_even_beside_doubled_keys(m
     assert [(b.idx, b.reason) for b in rejects(raw)] == [(-1, "unmarshal")]
 
 
+@pytest.mark.parametrize("quoted", [b'"{\\"event_id\\":\\"q\\"}"', b'" {}"', b'"\\u007b\\u0022event_id\\u0022:\\u0022q\\u0022}"', b'"\\n{}"'])
+def test_no_quoted_text_passes_for_an_event(messages, quoted):
+    raw = messages(b'{"events":[' + quoted + b"," + single(event("a")) + b"]}")
+    assert [r.event_id for r in rows(raw)] == ["a"]
+    bad = rejects(raw)
+    assert [(b.idx, b.reason) for b in bad] == [(0, "unmarshal")]
+    assert json.loads(bytes(bad[0].payload)) == json.loads(quoted)
+
+
 @pytest.mark.parametrize(
     "fault",
     [{"chain_depth": 2**31}, {"latency_ms": 1.5}, {"latency_ms": "12"}, {"fallback_used": "true"}, {"usage": 5}, {"cost_usd": "NaN"},

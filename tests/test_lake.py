@@ -86,6 +86,12 @@ def test_an_empty_app_and_an_all_digit_app_are_strings(spark, write):
     assert "PartitionFilters: []" not in plan_of(empty)
 
 
+def test_the_first_and_the_last_day_can_be_read_back(spark, write):
+    days = [dt.datetime(1, 1, 2), dt.datetime(1582, 10, 10, 1), dt.datetime(9999, 12, 31, 23, 59, 59, 999999)]
+    lake = rl.read_lake(spark, write(*[sentinel(i, time=day) for i, day in enumerate(days)]), "ledger")
+    assert sorted((r.time, r.date) for r in lake.collect()) == [(day, day.date()) for day in days]
+
+
 def test_no_rows_no_file(spark, tmp_path):
     rl.write_lake(spark.createDataFrame([], ROW_SCHEMA), str(tmp_path), "ledger")
     assert list(tmp_path.rglob("*.parquet")) == []

@@ -95,6 +95,15 @@ def test_by_age_from_start_and_which_wins(spark):
         ids(since="5x", from_start=True)
 
 
+def test_a_moment_with_a_zone_is_the_same_moment(spark):
+    at = dt.datetime(2026, 9, 29, 12)
+    raw = spark.createDataFrame([("S", "b.t.a", 1, at, bytearray(batch(event("e"))))], RAW_SCHEMA)
+    tokyo = dt.timezone(dt.timedelta(hours=9))
+    hits = lambda now: rl.tail_rows(raw, rl.BATCH, since="1h", now=now).count()
+    assert hits(dt.datetime(2026, 9, 29, 22, tzinfo=tokyo)) == 1
+    assert hits(dt.datetime(2026, 9, 29, 22, 0, 1, tzinfo=tokyo)) == 0
+
+
 def test_filters_are_all_required(five):
     assert len(lines(rl.tail(five, rl.BATCH, filters=["outcome=denied", "tool=pay"]))) == 5
     assert lines(rl.tail(five, rl.BATCH, filters=["outcome=denied", "tool=other"])) == []
