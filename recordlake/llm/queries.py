@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from recordlake.llm import line_dedup, mixing, secrets
+from recordlake.llm import language, line_dedup, mixing, quality, secrets, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op2_secret_scans": secrets.query,
+    "op5_toxicity": toxicity.query,
     "op7_mixing": mixing.query,
+    "op8_quality": quality.query,
+    "op9_language": language.query,
 }
 
 ORACLES = {
