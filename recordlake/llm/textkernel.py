@@ -125,3 +125,11 @@ def rolling(data: np.ndarray, width: int) -> np.ndarray:
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_BYTE[data] * _powers(_BASE, n), out=sums[1:])
     return mix((sums[width:] - sums[:-width]) * _powers(_BASE_INVERSE, n)[: n - width + 1])
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of each run of bytes [start, end); runs may overlap."""
+    n = len(data)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[data] * _powers(_BASE, n), out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * _powers(_BASE_INVERSE, n + 1)[starts] + (ends - starts).astype(np.uint64))
