@@ -2,19 +2,35 @@
 
 from __future__ import annotations
 
-from recordlake.llm import language, line_dedup, mixing, quality, secrets, toxicity
+from recordlake.llm import (
+    decontaminate,
+    jaccard_join,
+    language,
+    line_dedup,
+    mixing,
+    quality,
+    secrets,
+    substring_dedup,
+    toxicity,
+    vector_search,
+)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op2_secret_scans": secrets.query,
+    "op3_vector_search": vector_search.query,
+    "op4_jaccard_join": jaccard_join.query,
     "op5_toxicity": toxicity.query,
+    "op6_decontaminate": decontaminate.query,
     "op7_mixing": mixing.query,
     "op8_quality": quality.query,
     "op9_language": language.query,
+    "op10_substring_dedup": substring_dedup.query,
 }
 
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,
     "op2_secret_scans": secrets.ORACLE_SQL,
+    "op3_vector_search": vector_search.ORACLE_SQL,
     "op7_mixing": mixing.ORACLE_SQL,
 }
