@@ -36,17 +36,37 @@ PERCENT = 75
 BUCKETS = 1 << 18
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sizes, keys = [], []
-        for _, data, offsets in slices(batch.column("text")):
-            for held in shingles(data, offsets, WORDS):
-                sizes.append(len(held))
-                keys.append(hashlib.md5(held.tobytes()).digest() if len(held) else None)
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("doc_id", "text_key")), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary())],
-            ["doc_id", "text_key", "n", "set_key"],
-        )
+def _prefix(held: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first shingles of a set in the order from rare to frequent."""
+    order = np.lexsort((held, counts[(held % np.uint64(BUCKETS)).astype(np.int64)]))
+    return held[order[: prefix_size(len(held))]]
+
+
+def _group(prefix: np.ndarray, n: int) -> int:
+    """The group of a set: the hash of its prefix and its size."""
+    return int.from_bytes(hashlib.md5(prefix.tobytes() + n.to_bytes(8, "little")).digest()[:8], "little", signed=True)
+
+
+def _set_rows(counts: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, keys, gids = [], [], []
+            for _, data, offsets in slices(batch.column("text")):
+                for held in shingles(data, offsets, WORDS):
+                    sizes.append(len(held))
+                    keys.append(hashlib.md5(held.tobytes()).digest() if len(held) else None)
+                    gids.append(_group(_prefix(held, counts), len(held)) if len(held) else None)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c) for c in ("doc_id", "text_key")),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(keys, pa.binary()),
+                    pa.array(gids, pa.int64()),
+                ],
+                ["doc_id", "text_key", "n", "set_key", "gid"],
+            )
+
+    return run
 
 
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,13 +87,15 @@ def prefix_size(n):
 def _prefix_rows(counts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prefixes = []
+            rows = []
             for _, data, offsets in slices(batch.column("text")):
                 for held in shingles(data, offsets, WORDS):
-                    order = np.lexsort((held, counts[(held % np.uint64(BUCKETS)).astype(np.int64)]))
-                    prefixes.append(held[order[: prefix_size(len(held))]].view(np.int64))
+                    if len(held):
+                        prefix = _prefix(held, counts)
+                        rows.append((_group(prefix, len(held)), len(held), prefix.view(np.int64)))
+            gids, sizes, prefixes = list(zip(*rows)) or ([], [], [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("set_key"), batch.column("n"), pa.array(prefixes, pa.list_(pa.int64()))], ["set_key", "n", "prefix"]
+                [pa.array(gids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))], ["gid", "n", "prefix"]
             )
 
     return run
@@ -90,11 +112,14 @@ def _close(a: Column, b: Column) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, keyed: DataFrame, chosen: DataFrame) -> DataFrame:
     """The ``pairs`` (``a``, ``b``: set keys) that link, by their whole sets."""
     pairs = written(pairs.distinct(), "jaccard-pairs")
     needed = pairs.select(F.col("a").alias("set_key")).unionByName(pairs.select(F.col("b").alias("set_key"))).distinct()
-    held = written(texts.join(needed, "set_key", "left_semi").mapInArrow(_whole_rows, "set_key binary, held array<bigint>"), "jaccard-sets")
+    rows = chosen.join(needed, "set_key").alias("c")
+    same = F.col("k.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("k.text_key") == F.col("c.text_key"))
+    texts = keyed.alias("k").join(rows, same).select("c.set_key", "k.text")
+    held = written(texts.mapInArrow(_whole_rows, "set_key binary, held array<bigint>"), "jaccard-sets")
     met = pairs.join(held.select(F.col("set_key").alias("a"), F.col("held").alias("x")), "a")
     met = met.join(held.select(F.col("set_key").alias("b"), F.col("held").alias("y")), "b")
     same = F.size(F.array_intersect("x", "y"))
@@ -105,24 +130,18 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def classes(rows: DataFrame) -> DataFrame:
     """``rows`` (``doc_id``, ``text``) as ``doc_id``, ``text_key``, ``n``, ``set_key`` and ``class``: a set key, the same for all reachable."""
     keyed = rows.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("text_key"), "text")
-    sets = written(
-        keyed.mapInArrow(_set_rows, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_key binary, n long, set_key binary"),
-        "jaccard-rows",
-    )
-    chosen = sets.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("n").alias("n"))
-    chosen = chosen.select("set_key", "n", F.col("one.doc_id").alias("doc_id"), F.col("one.text_key").alias("text_key"))
-    same = (F.col("k.doc_id").eqNullSafe(F.col("c.doc_id"))) & (F.col("k.text_key") == F.col("c.text_key"))
-    texts = keyed.alias("k").join(chosen.alias("c"), same).select("c.set_key", "c.n", "k.text")
-
     counts = np.zeros(BUCKETS, dtype=np.int64)
     for r in rows.select("text").mapInArrow(_count_rows, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         counts[r["bucket"]] = r["n"]
-    prefixes = texts.mapInArrow(_prefix_rows(counts), "set_key binary, n long, prefix array<bigint>")
-    prefixes = prefixes.withColumn("gid", F.xxhash64("n", "prefix"))
-    prefixes = written(prefixes, "jaccard-prefixes")
-    members = prefixes.select("gid", "set_key").distinct()
-    groups = prefixes.groupBy("gid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    tokens = groups.select("gid", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    sets = keyed.mapInArrow(_set_rows(counts), f"doc_id {id_type}, text_key binary, n long, set_key binary, gid long")
+    sets = written(sets, "jaccard-rows")
+    chosen = sets.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("gid").alias("gid"))
+    chosen = written(chosen.select("set_key", "gid", "one.*"), "jaccard-chosen")
+    members = chosen.select("gid", "set_key")
+    groups = rows.select("text").mapInArrow(_prefix_rows(counts), "gid long, n int, prefix array<bigint>")
+    groups = groups.groupBy("gid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    tokens = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
     lists = Window.partitionBy("token").orderBy("n", "gid")
     hits = tokens.select(
         "token", "gid", "n", "pos", F.lag(F.struct("gid", "n")).over(lists).alias("prev"), F.lead("gid").over(lists).alias("next")
@@ -137,7 +156,7 @@ def classes(rows: DataFrame) -> DataFrame:
     near = near.join(leader("ga", "a"), "ga").join(leader("gb", "b"), "gb").select("a", "b")
     inside = members.withColumn("before", F.lag("set_key").over(Window.partitionBy("gid").orderBy("set_key")))
     inside = inside.where("before IS NOT NULL").select(F.col("before").alias("a"), F.col("set_key").alias("b"))
-    links = _verified(near.unionByName(inside), texts)
+    links = _verified(near.unionByName(inside), keyed, chosen)
     first = written(components(links), "jaccard-classes")
 
     # Pairs of groups, and of members of one group, whose classes differ.
@@ -163,7 +182,7 @@ def classes(rows: DataFrame) -> DataFrame:
     inner = inner.select("gid", F.col("set_key").alias("a"), F.col("class").alias("ca")).join(
         inner.select("gid", F.col("set_key").alias("b"), F.col("class").alias("cb")), "gid"
     )
-    more = _verified(apart.unionByName(inner.where("ca < cb").select("a", "b")), texts)
+    more = _verified(apart.unionByName(inner.where("ca < cb").select("a", "b")), keyed, chosen)
     last = written(components(links.unionByName(more)), "jaccard-classes")
     told = sets.join(last.select(F.col("node").alias("set_key"), "component"), "set_key", "left")
     return told.select("doc_id", "text_key", "n", "set_key", F.coalesce("component", "set_key").alias("class"))
