@@ -3,7 +3,7 @@
 Every document is cut at its newlines and every three lines in a row make a
 window, so windows overlap.  A window is known by the 128-bit hash of its three
 lines.  Where a window occurs more than once, its first occurrence stays (lowest
-document id, then position) and each later one covers its three lines; the union
+document id, a null one before all, then position) and each later one covers its three lines; the union
 of what is covered is removed.  Whatever is removed survives word for word at an
 earlier place, also where occurrences overlap: of ten equal lines one is left.
 

@@ -97,23 +97,24 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The hash of every string of the runs to be opened."""
+    """The hash of every string of the runs to be opened, with the run's number."""
     for batch in batches:
-        keys, opened = batch.column("key"), batch.column("opened").to_pylist()
+        opened = batch.column("opened").to_pylist()
         for at, data, offsets in slices(batch.column("text")):
             hashes = rolling(data, WIDTH).view(np.int64)
             for d in range(len(offsets) - 1):
-                parts = [(np.arange(r["first"], r["last"] + 1), r["n"]) for r in opened[at + d]]
-                starts = np.concatenate([p for p, _ in parts])
-                times = np.concatenate([np.full(len(p), min(n, 2)) for p, n in parts])
+                parts = [(np.arange(r["first"], r["last"] + 1), r["run"], r["n"]) for r in opened[at + d]]
+                starts = np.concatenate([p for p, _, _ in parts])
+                numbers = np.concatenate([np.full(len(p), run) for p, run, _ in parts])
+                times = np.concatenate([np.full(len(p), min(n, 2)) for p, _, n in parts])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(hashes[starts + offsets[d]]),
-                        keys.take(pa.array(np.full(len(starts), at + d))),
+                        pa.array(numbers, pa.int64()),
                         pa.array(starts),
-                        pa.array(times, pa.int64()),
+                        pa.array(times, pa.int32()),
                     ],
-                    ["hash", "key", "start", "n"],
+                    ["hash", "run", "start", "n"],
                 )
 
 
@@ -128,12 +129,14 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
     again = kinds.where("n > 1").select("anchor", "whole")
     covered = found.join(again, ["anchor", "whole"]).select("key", "first", "last")
     opened = kinds.join(shared, "anchor").select("one.*", "n")
-    opened = opened.groupBy("key").agg(F.collect_list(F.struct("first", "last", "n")).alias("opened"))
-    strings = texts.join(opened, "key").dropDuplicates(["key"]).mapInArrow(_string_rows, "hash long, key binary, start long, n long")
-    strings = written(strings.where("hash IS NOT NULL"), "substring-strings")
+    opened = written(opened.withColumn("run", F.monotonically_increasing_id()), "substring-opened")
+    wanted = opened.groupBy("key").agg(F.collect_list(F.struct("first", "last", "run", "n")).alias("opened"))
+    strings = texts.join(wanted, "key").dropDuplicates(["key"]).mapInArrow(_string_rows, "hash long, run long, start long, n int")
+    strings = written(strings, "substring-strings")
     twice = strings.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash")
-    single = strings.where("n = 1").join(twice, "hash").select("key", F.col("start").alias("first"), F.col("start").alias("last"))
-    return covered.unionByName(single).groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("covers"))
+    single = strings.where("n = 1").join(twice, "hash").groupBy("run").agg(F.collect_list("start").alias("starts"))
+    single = single.join(opened.select("run", "key"), "run").select("key", F.explode("starts").alias("first"))
+    return covered.unionByName(single.withColumn("last", F.col("first"))).groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("covers"))
 
 
 def _cut_rows(shape: StructType):
