@@ -63,7 +63,7 @@ def parse_since(text: str | int | None) -> Start:
         raise ValueError(f"since {said!r}: neither a message count nor a duration") from None
     if nanos <= 0:
         raise ValueError(f"since {said}: a duration must be positive")
-    return Start(age=dt.timedelta(microseconds=nanos // 1000))
+    return Start(age=dt.timedelta(microseconds=-(-nanos // 1000)))
 
 
 def parse_filters(filters: Iterable[str] | Mapping[str, str]) -> dict[str, str]:

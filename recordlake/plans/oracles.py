@@ -171,6 +171,10 @@ _BODIES: dict[str, str] = {
     "dead_letters": f"SELECT {_DEAD} FROM rejects",
     "dead_letters_once": f"SELECT {_DEAD} FROM rejects",
     "dead_letters_retried": f"SELECT {_DEAD} FROM rejects",
+    "dead_letters_unknown_seq": """SELECT 'ledger' AS origin, 'unmarshal' AS reason, 'LEDGER' AS stream,
+  CASE WHEN event_id % 2 = 0 THEN '0' END AS sequence, 'event ' || event_id AS payload FROM t""",
+    "dead_letters_recreated": """SELECT stream || '-' || seq || '--1' AS msg_id, 'ledger' AS origin, 'unmarshal' AS reason, stream,
+  CAST(seq AS VARCHAR) AS sequence, life || seq AS payload FROM raw CROSS JOIN (VALUES ('old '), ('new ')) AS lives(life)""",
     "lake_roundtrip": f"SELECT {_row(STORED)}, CAST(ts AS DATE) AS date FROM t",
     "lake_totals": "SELECT count(*) AS rows, CAST(sum(k) AS BIGINT) AS input_tokens FROM t",
     "lake_pruned_count": f"""SELECT count(*) AS rows FROM t

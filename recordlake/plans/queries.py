@@ -159,6 +159,43 @@ def dead_letters_retried(spark, sf_dir):
     return _readable(rl.read_dead(spark, path).select(*DEAD_SCHEMA.fieldNames()))
 
 
+def _dead_of(raw: DataFrame) -> DataFrame:
+    return rl.to_dead(rl.to_rejects(rl.decode(raw, rl.BATCH)), "ledger")
+
+
+def dead_letters_unknown_seq(spark, sf_dir):
+    """Every event as a message that is no JSON and whose sequence is not known, dead-lettered twice."""
+
+    def make(path: str) -> None:
+        text = F.concat(F.lit("event "), F.col("event_id").cast("string"))
+        unknown = F.when(F.col("event_id") % 2 == 0, F.lit(0)).cast("bigint")
+        told = fx.events_table(spark, sf_dir).select(
+            F.lit(fx.STREAM).alias("stream"),
+            F.lit(fx.SUBJECT).alias("subject"),
+            unknown.alias("seq"),
+            F.col("ts").alias("published_at"),
+            F.encode(text, "UTF-8").alias("payload"),
+        )
+        for _ in range(2):
+            rl.write_dead(_dead_of(told), path, (None, None), "ledger")
+
+    held = _readable(rl.read_dead(spark, _derived(spark, sf_dir, "dead-unknown", make)))
+    return held.select("origin", "reason", "stream", "sequence", "payload")
+
+
+def dead_letters_recreated(spark, sf_dir):
+    """The dead letters of a stream and of its successor, whose sequences start again with other bytes."""
+
+    def make(path: str) -> None:
+        first = messages(spark, sf_dir).withColumn("payload", F.encode(F.concat(F.lit("old "), F.col("seq").cast("string")), "UTF-8"))
+        again = first.withColumn("payload", F.encode(F.concat(F.lit("new "), F.col("seq").cast("string")), "UTF-8"))
+        for raw in (first, again, first):
+            rl.write_dead(_dead_of(raw), path, origin="ledger")
+
+    held = _readable(rl.read_dead(spark, _derived(spark, sf_dir, "dead-recreated", make)))
+    return held.select("msg_id", "origin", "reason", "stream", "sequence", "payload")
+
+
 def lake_roundtrip(spark, sf_dir):
     return lake(spark, sf_dir)
 
@@ -352,6 +389,8 @@ QUERIES: dict[str, Query] = {
         dead_letters,
         dead_letters_once,
         dead_letters_retried,
+        dead_letters_unknown_seq,
+        dead_letters_recreated,
         lake_roundtrip,
         lake_totals,
         lake_pruned_count,

@@ -154,5 +154,7 @@ FLUSH_SCHEMA = T.StructType(
         T.StructField("messages", LONG),
         T.StructField("rows", LONG),
         T.StructField("rejects", LONG),
+        T.StructField("origin", STRING),
+        T.StructField("drain", STRING),
     ]
 )

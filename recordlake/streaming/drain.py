@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from recordlake.operators.decode import FLUSH_FIGURES, decode, to_rejects, to_rows
 from recordlake.schema import FLUSH_SCHEMA
-from recordlake.sinks.deadletter import to_dead, write_dead
+from recordlake.sinks.deadletter import UNKNOWN_ORIGIN, to_dead, write_dead
 from recordlake.sinks.lake import write_lake
 
 #: How long a record waits at most before it is queryable.
@@ -27,17 +27,24 @@ DEFAULT_INTERVAL = "5 minutes"
 Writer = Callable[[DataFrame, int], None]
 
 
-# Where the rejects of a batch lie, so that only that stretch of the dead letters is searched for them.
+# Where the rejects of a batch lie, so that only that stretch of the dead letters is searched for them; 0 is no place.
 _REJECT_SPAN = (
-    "min(seq) FILTER (WHERE reason IS NOT NULL) AS first_reject",
-    "max(seq) FILTER (WHERE reason IS NOT NULL) AS last_reject",
+    "min(seq) FILTER (WHERE reason IS NOT NULL AND seq <> 0) AS first_reject",
+    "max(seq) FILTER (WHERE reason IS NOT NULL AND seq <> 0) AS last_reject",
 )
 
+#: The drain of a batch that was landed by ``flush`` alone.
+DIRECT = "direct"
 
-def write_flush(spark: SparkSession, path: str, flush_id: int, stats: Row) -> None:
-    """Record one flush in a directory of its own, so that a replayed batch replaces its line."""
-    line = (flush_id, stats["first_seq"], stats["last_seq"], stats["messages"], stats["rows"], stats["rejects"])
-    spark.createDataFrame([line], FLUSH_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/flush={flush_id}")
+
+def write_flush(spark: SparkSession, path: str, flush_id: int, stats: Row, origin: str, drain_id: str = DIRECT) -> None:
+    """Record one flush in a directory of its own, so that a replayed batch replaces its line and no other's.
+
+    Batches are numbered anew by every checkpoint, so the directory names the origin and the drain too.
+    """
+    line = (flush_id, stats["first_seq"], stats["last_seq"], stats["messages"], stats["rows"], stats["rejects"], origin, drain_id)
+    made = spark.createDataFrame([line], FLUSH_SCHEMA).drop("origin", "drain").coalesce(1)
+    made.write.mode("overwrite").parquet(f"{path}/origin={origin}/drain={drain_id}/flush={flush_id}")
 
 
 def read_flushes(spark: SparkSession, path: str) -> DataFrame:
@@ -60,6 +67,7 @@ def flush(
     dead: str | Writer,
     prefix: str | None = None,
     flush_log: str | None = None,
+    drain_id: str = DIRECT,
 ) -> Row:
     """Land one micro-batch: dead letters first, rows second, the log last.
 
@@ -74,14 +82,14 @@ def flush(
             if callable(dead):
                 dead(letters, batch_id)
             else:
-                write_dead(letters, dead, (stats["first_reject"], stats["last_reject"]))
+                write_dead(letters, dead, (stats["first_reject"], stats["last_reject"]), origin or UNKNOWN_ORIGIN)
         if stats["rows"]:
             if callable(lake):
                 lake(to_rows(decoded), batch_id)
             else:
                 write_lake(to_rows(decoded), lake, origin if prefix is None else prefix)
         if flush_log:
-            write_flush(batch.sparkSession, flush_log, batch_id, stats)
+            write_flush(batch.sparkSession, flush_log, batch_id, stats, origin or UNKNOWN_ORIGIN, drain_id)
         return stats
     finally:
         decoded.unpersist()
@@ -103,12 +111,13 @@ def drain(
 
     ``lake`` and ``dead`` are paths or writers, and both are required: without
     somewhere to keep what cannot be read it would have to be thrown away.  The
-    lake's prefix is the origin unless given.  ``checkpoint`` is the durable
+    lake's prefix is the origin unless given.  No two drains may run under one origin
+    or into one lake prefix at a time.  ``checkpoint`` is the durable
     name of the drain.  ``interval`` bounds how long a record waits; how much a
     batch takes is bounded at the source, where rows are not counted yet.
     """
     if not dead:
-        raise ValueError("drain: a dead-letter target is required; unreadable records are never discarded")
+        raise ValueError("drain: a dead-letter target is required; pass a path or a writer")
     if not lake:
         raise ValueError("drain: no destination; pass a path or a writer for the lake")
     if not checkpoint:
@@ -117,7 +126,9 @@ def drain(
         raise ValueError("drain: a stream is required; land a table at rest with flush()")
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        flush(batch, batch_id, envelope, origin, lake, dead, prefix, flush_log)
+        # The id that the checkpoint keeps: the same after a restart, another for another checkpoint.
+        drain_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        flush(batch, batch_id, envelope, origin, lake, dead, prefix, flush_log, drain_id)
 
     writer = raw.writeStream.queryName(f"drain-{origin}").foreachBatch(land).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}

@@ -52,7 +52,7 @@ def start_at(raw: DataFrame, start: Start, now: dt.datetime | None = None) -> Da
     """Messages from where the tail begins: all of them, else by age, else the last so many."""
     if start.from_start:
         return raw
-    if start.age:
+    if start.age is not None:
         return since_age(raw, start.age, now)
     return last_messages(raw, start.last)
 
@@ -127,7 +127,7 @@ def tail_stream(
     """
     start, filters = _begin(since, from_start), parse_filters(filters)
     messages = of_stream(raw_stream(spark, path), stream)
-    if not start.from_start and start.age:
+    if not start.from_start and start.age is not None:
         messages = since_age(messages, start.age, now)
     elif not start.from_start:
         newest = of_stream(raw_table(spark, path), stream).agg(F.max("seq")).first()[0]

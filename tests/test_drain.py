@@ -1,4 +1,5 @@
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -54,7 +55,8 @@ def test_end_to_end(spark, landing, out):
     assert bytes(dead[1].payload) == b"\xff\xff not json"
     assert (dead[1].stream, dead[1].subject, dead[1].sequence, dead[1].event_index) == ("LEDGER", "rec.v1.ledger.acme.svc", "2", "-1")
     log = rl.read_flushes(spark, out["flushes"]).collect()
-    assert [tuple(r) for r in log] == [(0, 1, 3, 3, 2, 2)]
+    assert [tuple(r)[:7] for r in log] == [(0, 1, 3, 3, 2, 2, "ledger")]
+    assert log[0].drain not in ("", "direct", None)
 
 
 def test_what_lands_later_is_drained_by_the_next_run_and_nothing_twice(spark, landing, out):
@@ -172,3 +174,35 @@ def test_messages_published_twice_in_the_window_pass_a_stream_once(spark, landin
     once.writeStream.format("memory").queryName("once").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
     assert sorted(r.seq for r in spark.sql("SELECT seq FROM once").collect()) == [1, 2]
     assert rl.drop_duplicates(rl.raw_table(spark, path)).count() == 2
+
+
+def test_distinct_letters_of_unknown_or_restarted_sequences_are_all_kept(spark, messages, tmp_path):
+    path = str(tmp_path / "dead")
+    unknown = [(0, b"one"), (0, b"two"), (None, b"three"), (None, b"four")]
+    for batch_ in (unknown, unknown, [(5, b"before")], [(5, b"after")], [(5, b"before")]):
+        letters = rl.to_dead(rl.to_rejects(rl.decode(messages(*batch_), rl.BATCH)), "ledger")
+        rl.write_dead(letters, path, (5, 5) if batch_[0][0] else (None, None), "ledger")
+    kept = [bytes(d.payload) for d in rl.read_dead(spark, path).collect()]
+    assert sorted(kept) == [b"after", b"before", b"four", b"one", b"three", b"two"]
+
+
+def test_writers_of_two_origins_at_once_lose_nothing(spark, messages, tmp_path):
+    path = str(tmp_path / "dead")
+
+    def write(origin):
+        for first in range(1, 41, 10):
+            rejects = rl.to_rejects(rl.decode(messages(*[(first + i, b"junk") for i in range(10)]), rl.BATCH))
+            rl.write_dead(rl.to_dead(rejects, origin), path, (first, first + 9), origin)
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(write, ("ledger", "audit")))
+    held = rl.read_dead(spark, path).groupBy("origin").count().collect()
+    assert {r.origin: r["count"] for r in held} == {"ledger": 40, "audit": 40}
+
+
+def test_drains_that_share_a_flush_log_keep_their_own_lines(spark, landing, out, tmp_path):
+    path = landing((1, batch(event("a"))))
+    run(spark, path, out)
+    run(spark, path, {**out, "checkpoint": str(tmp_path / "anew")})
+    log = rl.read_flushes(spark, out["flushes"]).collect()
+    assert [r.flush_id for r in log] == [0, 0] and len({r.drain for r in log}) == 2
