@@ -188,28 +188,37 @@ def classes(rows: DataFrame) -> DataFrame:
     return told.select("doc_id", "text_key", "n", "set_key", F.coalesce("component", "set_key").alias("class"))
 
 
+def _joined(docs: DataFrame) -> DataFrame:
+    """What ``join_similar`` gives, with the ``class`` of every row: null for rows without words."""
+    told = written(classes(docs.select("doc_id", "text")), "jaccard-told")
+    least = told.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
+    met = told.join(least, "class", "left")
+    one = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("least"))
+    return met.select("doc_id", F.col("n").alias("n_shingles"), one.alias("component_id"), "text_key", "class")
+
+
 def join_similar(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` (the least id reachable) and ``text_key`` of every row.
 
     A null or empty text, or one without words, has size 0, links with nothing and
     is its own component.  A text of fewer than five words is one shingle.  Rows
     that repeat are linked rows; a null id is never the least while there is
-    another.  Extra columns are not looked at; an empty table gives an empty result.
+    another.  Classes that share their least id, or have none, share a
+    ``component_id`` without being linked.  Extra columns are not looked at; an
+    empty table gives an empty result.
     """
-    told = written(classes(docs.select("doc_id", "text")), "jaccard-told")
-    least = told.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
-    met = told.join(least, "class", "left")
-    one = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("least"))
-    return met.select("doc_id", F.col("n").alias("n_shingles"), one.alias("component_id"), "text_key")
+    return _joined(docs).drop("class")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each component: of the least id, and of rows of that id the one of least text hash.
+    """``docs`` with one row of each class: of the least id, and of rows of that id the one of least text hash.
 
-    Rows without words are kept, all of them.
+    A null id is the least only of a class that has no other.  Rows without words
+    are kept, all of them.
     """
-    joined = join_similar(docs)
-    chosen = joined.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "text_key")).alias("one"))
+    joined = _joined(docs)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "text_key"))
+    chosen = joined.where("class IS NOT NULL").groupBy("class").agg(least.alias("one"))
     told = F.unhex(F.md5(F.coalesce(F.col("doc.text"), F.lit("")).cast("binary")))
     rows = docs.select(packed(docs).alias("doc")).select("doc", F.col("doc.doc_id").alias("id"), told.alias("key"))
     first = chosen.select(F.col("one.doc_id").alias("id1"), F.col("one.text_key").alias("key1"))

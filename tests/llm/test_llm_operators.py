@@ -93,6 +93,14 @@ def test_similar_documents_equal_brute_force(docs):
     assert len([i for i in kept if i in (3, 4)]) == 1 and kept.count(6) == 0 and {0, 1, 2} <= set(kept)
 
 
+def test_one_row_of_every_class_is_kept_whatever_its_id(spark):
+    text = lambda name: " ".join(f"{name}{i}" for i in range(40))
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (1, text("c")), (1, text("d")), (2, text("d") + " more"), (None, text("e")), (3, text("e"))]
+    table = spark.createDataFrame([row(*r) for r in rows], SCHEMA)
+    kept = [(r.doc_id, r.text) for r in jaccard_join.keep_one(table).collect()]
+    assert sorted(kept, key=str) == sorted([rows[i] for i in (0, 1, 3, 4, 7)], key=str)
+
+
 def test_an_item_is_found_within_its_budget_of_edits(spark, docs):
     item = "line 3 of a passage that is told in more than one place, word for word line 4 of a passage"
     edited = item.replace("passage", "pasage", 1).replace("told", "tolled")
