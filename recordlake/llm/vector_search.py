@@ -1,7 +1,8 @@
 """Exact top-k search by inner product: KD-trees per shard, best-first, with the kth score handed on.
 
-Vectors are dealt to shards of about ``SHARD_ROWS`` by a hash of their id, so a
-vector held by very many ids is spread evenly.  In each shard a KD-tree is built
+Equal rows are folded first.  Vectors are then dealt to shards of about
+``SHARD_ROWS`` by a hash of id and vector, so a vector held by very many ids, and
+an id of very many vectors, are spread evenly.  In each shard a KD-tree is built
 by median splits along the widest side, with a tight bounding box for every node.
 No point of a box can score more than the sum over its sides of the larger of
 query times low and query times high; a query walks the tree from the best such
@@ -72,12 +73,13 @@ class Tree:
         return np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
 
     def search(self, query: np.ndarray, own: int, bounds: np.ndarray, k: int, least: float | None) -> list[tuple[int, int]]:
-        """(score, id) of the ``k`` best points, none below ``least``."""
-        best: list[tuple[float, int]] = []  # a heap of (score, -id), the worst on top
+        """(score, id) of the ``k`` best ids, each by its best point, none below ``least``."""
+        best: dict[int, float] = {}  # the score of each id
+        worst = None  # (score, -id) of the kth of them
         frontier = [(-bounds[0], 0)]
         while frontier:
             bound, node = heapq.heappop(frontier)
-            kth = best[0][0] if len(best) == k else least
+            kth = worst[0] if worst else least
             if kth is not None and -bound < kth:
                 break
             if self.kids[node]:
@@ -90,13 +92,19 @@ class Tree:
             if kth is not None:
                 fits &= scores >= kth
             at = np.flatnonzero(fits)
-            for i in at[np.lexsort((ids[at], -scores[at]))[:k]]:
-                one = (scores[i], -int(ids[i]))
-                if len(best) < k:
-                    heapq.heappush(best, one)
-                elif one > best[0]:
-                    heapq.heapreplace(best, one)
-        return [(int(s), -i) for s, i in best]
+            for i in at[np.lexsort((ids[at], -scores[at]))]:
+                score, one = scores[i], int(ids[i])
+                if worst and (score, -one) <= worst:
+                    break
+                if one in best:
+                    best[one] = max(best[one], score)
+                else:
+                    if worst:
+                        del best[-worst[1]]
+                    best[one] = score
+                if len(best) == k:
+                    worst = min((s, -i) for i, s in best.items())
+        return [(int(s), i) for i, s in best.items()]
 
 
 def _searcher(k: int):
@@ -124,8 +132,9 @@ def _searcher(k: int):
 
 def _best(found: DataFrame, k: int) -> DataFrame:
     """The ``k`` best of each query as ``tops``: an array of (-score, vec_id), best first."""
-    tops = F.slice(F.array_sort(F.collect_set(F.struct((-F.col("score")).alias("loss"), "vec_id"))), 1, k)
-    return found.groupBy("query_id").agg(tops.alias("tops"))
+    tops = F.slice(F.array_sort(F.collect_list(F.struct("loss", "vec_id"))), 1, k)
+    ids = found.groupBy("query_id", "vec_id").agg((-F.max("score")).alias("loss"))
+    return ids.groupBy("query_id").agg(tops.alias("tops"))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
@@ -133,19 +142,20 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
 
     Both tables have ``vec_id`` and ``embedding``.  Rows without an id, vectors
     null or empty, or with null or non-finite components take no part; a query
-    meets vectors of its own length only.  Rows that repeat an id are that many
-    candidates of one id, of which the best counts.  Ties go to the smaller id.
+    meets vectors of its own length only.  Rows that repeat an id are one candidate,
+    by the best of its vectors; queries that repeat an id are one query, and the best
+    score any of its vectors gives a candidate counts.  Ties go to the smaller id.
     Products must fit in 64 bits.  Empty tables give an empty result.
     """
     usable = lambda df: df.select(F.col("vec_id").cast("long").alias("vec_id"), quantised(F.col("embedding")).alias("x")).where(
         "vec_id IS NOT NULL AND x IS NOT NULL"
     )
-    points = written(usable(vectors).withColumn("dim", F.size("x")), "vectors")
-    asked = usable(queries).withColumnRenamed("vec_id", "query_id").withColumn("dim", F.size("x"))
-    asked = written(asked.dropDuplicates(["query_id"]), "vector-queries")
+    points = written(usable(vectors).distinct().withColumn("dim", F.size("x")), "vectors")
+    asked = usable(queries).distinct().withColumnRenamed("vec_id", "query_id").withColumn("dim", F.size("x"))
+    asked = written(asked, "vector-queries")
     shards = max(1, -(-points.count() // SHARD_ROWS))
     blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
-    spread = lambda name, seed, n: F.pmod(F.xxhash64(F.lit(seed), F.col(name)), F.lit(n)).cast("int")
+    spread = lambda name, seed, n: F.pmod(F.xxhash64(F.lit(seed), F.col(name), F.col("x")), F.lit(n)).cast("int")
     asked = asked.withColumn("block", spread("query_id", 1, blocks))
     placed = points.withColumn("shard", spread("vec_id", 2, shards))
     placed = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))

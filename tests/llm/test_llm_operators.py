@@ -131,6 +131,23 @@ def test_search_equals_brute_force(spark):
     assert vector_search.top_k(table.limit(0), table.limit(0)).count() == 0
 
 
+def test_ids_that_repeat_are_one_candidate_and_one_query(spark):
+    rows = [(i, [i / 64, 0.5]) for i in range(2500)]
+    rows += [(9000, [90.0 + i / 256, 1.0]) for i in range(400)] + [(9001, [80.0, 1.0])] * 3000  # an id of many vectors, a row held often
+    asked = [(7, [1.0, 0.0]), (7, [0.0, 300.0]), (7, [1.0, 0.0]), (9000, [1.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = vector_search.top_k(table, spark.createDataFrame(asked, table.schema)).collect()
+    whole = lambda v: [math.floor(256 * x) for x in v]
+    want = []
+    for q in {i for i, _ in asked}:
+        best = {}
+        for i, v in set((i, tuple(v)) for i, v in rows):
+            for a in (whole(a) for j, a in asked if j == q != i):
+                best[i] = max(best.get(i, -math.inf), sum(x * y for x, y in zip(a, whole(v))))
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(sorted((-s, i) for i, s in best.items())[:5])]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 @pytest.fixture(scope="module")
 def learned(spark):
     good = [row(i, f"A quiet sentence about women and gardens number {i}, with some news.") for i in range(100, 200)]
