@@ -228,6 +228,7 @@ SELECT {_row(RUNNER)}, CAST(ts AS DATE) AS date FROM one""",
     "admit_oldest": f""", summed AS (SELECT *, sum(strlen(payload)) OVER (ORDER BY seq) AS running FROM raw)
 {_SIZES}, running <= {BUDGET} AS accepted FROM summed""",
     "duplicate_window": "SELECT stream, subject, seq, published_at, payload FROM raw",
+    "duplicate_window_stream": "SELECT stream, subject, seq, published_at, payload FROM raw",
     "contract_drift": f""", carried AS (
   SELECT t.*, unnest(CASE WHEN fault = 'missing_time' THEN [] ELSE ['time'] END
     || CASE WHEN ts < TIMESTAMP '2024-01-16' THEN [] ELSE ['execution_subject'] END

@@ -28,6 +28,8 @@ LAST = 20
 #: Byte budget of the retention queries: about half of what the test messages take at sf0.01.
 BUDGET = 1_500_000
 
+#: How long the streamed query for duplicates remembers an id: longer than it runs.
+WINDOW = "1 hour"
 #: Limits the policy query holds the test messages against; the first two are outgrown.
 HELD_POLICY = {"subjects": f"{fx.SUBJECT}.>", "max_age": "604800", "max_bytes": str(BUDGET), "max_msgs": "-1"}
 
@@ -361,6 +363,22 @@ def duplicate_window(spark, sf_dir):
     return _readable(rl.drop_duplicates(twice(spark, sf_dir)))
 
 
+def duplicate_window_stream(spark, sf_dir):
+    """The same on a stream: the newer half lands first, then the older one, then copies from both."""
+
+    def make(root: str) -> None:
+        raw = messages(spark, sf_dir)
+        middle = raw.agg(F.expr("timestampadd(MICROSECOND, timestampdiff(MICROSECOND, min(published_at), max(published_at)) div 2, min(published_at))"))
+        newer = F.col("published_at") >= F.lit(middle.first()[0])
+        for part in (raw.filter(newer), raw.filter(~newer), raw.filter(F.col("seq") % 10 == 3)):
+            part.write.mode("append").parquet(f"{root}/landing")
+            once = rl.drop_duplicates(rl.raw_stream(spark, f"{root}/landing"), window=WINDOW)
+            out = once.writeStream.format("parquet").option("path", f"{root}/once").option("checkpointLocation", f"{root}/checkpoint")
+            out.trigger(availableNow=True).start().awaitTermination()
+
+    return _readable(rl.raw_table(spark, f"{_derived(spark, sf_dir, 'once', make)}/once"))
+
+
 def contract_drift(spark, sf_dir):
     observed = rl.observed_fields(drifting_messages(spark, sf_dir), rl.BATCH)
     return rl.contract_drift(observed, {"correlation_id": "set by callers that trace, and none of these does"})
@@ -423,6 +441,7 @@ QUERIES: dict[str, Query] = {
         retain_by_age,
         admit_oldest,
         duplicate_window,
+        duplicate_window_stream,
         contract_drift,
         policy_diff,
         usage_by_tenant_day,

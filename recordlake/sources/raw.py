@@ -59,12 +59,14 @@ def drop_duplicates(df: DataFrame, keys: tuple[str, ...] = ("stream", "seq"), wi
     """Messages published more than once, kept once.
 
     On a table all copies are in sight and the window plays no part.  On a
-    stream an id is remembered for ``window`` of arrival time, which bounds the
-    state; like every watermark it passes over messages that arrive later than
-    that behind the newest, so use it on a stream that arrives in order.  The
-    drain does without: copies are kept there and folded by the reader.
+    stream an id is remembered for ``window`` or more after it arrived, which
+    bounds the state.  A message arrives with its micro-batch, whenever it was
+    published, so none is late: one published before others that came first
+    passes, and a copy that comes after the window passes again.  Only a clock set
+    back by more than the window could make a batch late.  The drain does
+    without: copies are kept there and folded by the reader.
     """
     if not df.isStreaming:
         return df.dropDuplicates(list(keys))
-    timed = df.withColumn("_arrived", F.col("published_at").cast("timestamp")).withWatermark("_arrived", window)
+    timed = df.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", window)
     return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_arrived")

@@ -176,6 +176,16 @@ def test_messages_published_twice_in_the_window_pass_a_stream_once(spark, landin
     assert rl.drop_duplicates(rl.raw_table(spark, path)).count() == 2
 
 
+def test_a_message_that_lands_late_is_no_duplicate(spark, landing, tmp_path):
+    noon = dt.datetime(2026, 9, 29, 12)
+    for parts, at in (([11], noon + dt.timedelta(hours=3)), ([3, 3], noon), ([3, 11], noon), ([4], noon)):
+        path = landing(*[(seq, b"{}") for seq in parts], at=at)
+        once = rl.drop_duplicates(rl.raw_stream(spark, path), window="1 hour").writeStream.format("parquet")
+        once = once.option("path", str(tmp_path / "late")).option("checkpointLocation", str(tmp_path / "c"))
+        once.trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.seq for r in rl.raw_table(spark, str(tmp_path / "late")).collect()) == [3, 4, 11]
+
+
 def test_distinct_letters_of_unknown_or_restarted_sequences_are_all_kept(spark, messages, tmp_path):
     path = str(tmp_path / "dead")
     unknown = [(0, b"one"), (0, b"two"), (None, b"three"), (None, b"four")]
