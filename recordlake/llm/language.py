@@ -32,6 +32,8 @@ PER_LANGUAGE = 300
 LANDMARKS = 40
 RIDGE = 1e-2
 UNKNOWN = "und"
+#: Texts by n-grams that are held at once; more texts are taken one block after another.
+CELLS = 1 << 25
 #: First code of the n-grams of each length, so that lengths do not clash.
 _FIRST = (0, 0, 1 << 8, (1 << 8) + (1 << 16))
 _CODES = (1 << 8) + (1 << 16) + (1 << 24)
@@ -92,13 +94,12 @@ def fit(docs: DataFrame):
         return None
     sets = sorted(np.frombuffer(m["codes"], dtype=np.int32).tobytes() for m in marks)
     sets = [np.frombuffer(s, dtype=np.int32) for s in sets]
-    codes, counts = np.unique(np.concatenate(sets), return_counts=True)
-    codes = codes[counts > 1] if (counts > 1).any() else codes
+    codes = np.unique(np.concatenate(sets))
     landmarks = np.stack([np.isin(codes, s) for s in sets]).astype(np.float32)
     landmarks /= np.sqrt(np.maximum(1, landmarks.sum(axis=1)))[:, None]
 
     kernel, rows = features(
-        sample.select("doc_id", "lang", "text"), lambda data, offsets: kernels(presence(_table(codes), data, offsets), landmarks)
+        sample.select("doc_id", "lang", "text"), lambda data, offsets: kernels(codes, landmarks, data, offsets)
     )
     languages = sorted({r["lang"] for r in rows})
     target = np.array([[1.0 if r["lang"] == x else 0.0 for x in languages] for r in rows])
@@ -127,8 +128,14 @@ def _table(codes: np.ndarray) -> np.ndarray:
     return _TABLES[key]
 
 
-def kernels(held: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
-    return (held @ landmarks.T) / np.sqrt(np.maximum(1, held.sum(axis=1)))[:, None]
+def kernels(codes: np.ndarray, landmarks: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Each text's values against the landmarks, so many texts at a time as ``CELLS`` of presence hold."""
+    parts, step = [], max(1, CELLS // max(1, len(codes)))
+    for first in range(0, len(offsets) - 1, step):
+        ends = offsets[first : first + step + 1]
+        held = presence(_table(codes), data[ends[0] : ends[-1]], ends - ends[0])
+        parts.append((held @ landmarks.T) / np.sqrt(np.maximum(1, held.sum(axis=1)))[:, None])
+    return np.concatenate(parts)
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -155,7 +162,7 @@ def identify(docs: DataFrame) -> DataFrame:
                     told = np.zeros(n, dtype=bool)
                 else:
                     codes, landmarks, weights, languages = model
-                    kernel = kernels(presence(_table(codes), data, offsets), landmarks)
+                    kernel = kernels(codes, landmarks, data, offsets)
                     values = kernel @ weights[:-1] + weights[-1]
                     best = values.argmax(axis=1)
                 names += [languages[best[i]] if told[i] else UNKNOWN for i in range(n)]

@@ -192,6 +192,16 @@ def test_languages(learned, none):
     assert language.identify(none).count() == 0
 
 
+def test_a_language_of_one_training_document(spark):
+    many = [row(i, "a bad cab had " + "face fad jade hag".split()[i % 4]) for i in range(100, 160)]
+    single = [row(1, "nop rsno pons orp", "x1"), row(2, "tuv wxyt zuvt yut", "x2")]
+    asked = [row(300, "pons nop", None), row(301, "orp rsno", None), row(302, "zuvt tuv", None), row(303, "yut wxyt", None)]
+    got = language.identify(spark.createDataFrame(many + single + asked, SCHEMA)).select("doc.doc_id", "held_out", "lang_pred").collect()
+    told = {r.doc_id: r for r in got}
+    assert not told[1].held_out and not told[2].held_out
+    assert [told[i].lang_pred for i in range(300, 304)] == ["x1", "x1", "x2", "x2"]
+
+
 def test_the_native_operators_take_odd_rows(docs, none, tmp_path):
     lines = line_dedup.dedup_lines(docs).select("doc.*", "n_lines", "n_removed").collect()
     by_id = {r.doc_id: r for r in lines}
