@@ -45,6 +45,6 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 FOLDS = 5
 
 
-def held_out(doc_id: str = "doc_id") -> Column:
+def held_out(doc_id: str = "doc_id", folds: int = FOLDS) -> Column:
     """True for a document that no model may learn from; a row without an id counts as one."""
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0, F.lit(True))
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == 0, F.lit(True))

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from recordlake.llm import (
     decontaminate,
+    fill_middle,
     jaccard_join,
     language,
     line_dedup,
     mixing,
     quality,
+    recurrent_scores,
     secrets,
     substring_dedup,
     toxicity,
+    vector_codes,
     vector_search,
 )
 
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_quality": quality.query,
     "op9_language": language.query,
     "op10_substring_dedup": substring_dedup.query,
+    "op11_vector_codes": vector_codes.query,
+    "op12_recurrent_scores": recurrent_scores.query,
+    "op13_fill_middle": fill_middle.query,
 }
 
 ORACLES = {
@@ -33,4 +39,6 @@ ORACLES = {
     "op2_secret_scans": secrets.ORACLE_SQL,
     "op3_vector_search": vector_search.ORACLE_SQL,
     "op7_mixing": mixing.ORACLE_SQL,
+    "op11_vector_codes": vector_codes.ORACLE_SQL,
+    "op13_fill_middle": fill_middle.ORACLE_SQL,
 }

@@ -13,4 +13,4 @@ def test_the_result_equals_the_sql(spark, name):
 
 def test_all_are_registered():
     numbers = {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
-    assert {f"op{i}" for i in range(1, 11)} <= numbers and "pipeline" in entry.queries()
+    assert {f"op{i}" for i in range(1, 14)} <= numbers and "pipeline" in entry.queries()
