@@ -6,11 +6,9 @@ event as raw JSON text; the second parses one event at a time.  A single typed
 parse would flag the whole message for one bad event, and the blast radius of a
 bad event has to be that event.
 
-A rejected event keeps its bytes where its message is plain compact JSON.  In a
-message that is spaced or spelled otherwise, splitting writes each event back
-from its parsed form: every field and value is kept, unknown fields included,
-and numbers are spelled as a double spells them.  An unreadable message keeps
-its bytes untouched.
+A rejected event keeps its bytes however its message is spaced or spelled: where putting
+the parsed parts together again does not give the message, its elements are
+cut out of the text itself.  An unreadable message keeps its bytes untouched.
 """
 
 from __future__ import annotations
@@ -19,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recordlake.functions.elements import blanked, bounds, cut, pieces, running
 from recordlake.functions.text import json_list, json_map, literal, parse_instant
 from recordlake.schema import COLUMNS, REJECT_SCHEMA, TEXT_LIST, TEXT_MAP, LakeColumn, event_schema
 
@@ -40,7 +39,6 @@ ERR_UTF8 = "message is not valid UTF-8"
 ERR_MESSAGE = "message is not a JSON object"
 ERR_EVENTS = "events is not a list"
 ERR_ENVELOPE = "message is not a batch of events"
-ERR_UNCLEAR = "events cannot be told from quoted texts"
 HINT_BINARY = " (the payload does not start like JSON; this stream carries JSON text)"
 
 #: A time equal to this is an unset time, not a date.
@@ -53,9 +51,6 @@ _STRICT = "map('columnNameOfCorruptRecord', '_corrupt', 'allowSingleQuotes', 'fa
 #: The SQL text of a message's payload.
 _TEXT = "CAST(payload AS STRING)"
 
-# What a number too large for a double turns into when its event is written back.
-_OVERFLOW = 'Infinity"'
-
 _ZERO = {
     T.StringType(): "''",
     T.LongType(): "0L",
@@ -84,11 +79,6 @@ _HINT = f"if(ltrim({_TEXT}) RLIKE r'^[\\[{{]', '', {literal(HINT_BINARY)})"
 _NOT_TEXT = f"NOT coalesce(is_valid_utf8({_TEXT}), false)"
 _NOT_OBJECT = f"{_KEYS} IS NULL OR NOT ({_ONE_VALUE})"
 
-# True when a list in the message could hold a quoted object; three plain searches spare most messages the pattern.
-_SUSPECT = f"""((contains({_TEXT}, '"{{') OR contains({_TEXT}, r'"\\') OR contains({_TEXT}, '" '))
-  AND {_TEXT} RLIKE r'[\\[,]\\s*"\\s*[\\\\{{]')"""
-
-
 def _carried(raw: DataFrame) -> list[str]:
     return [c for c in raw.columns if c != "payload"]
 
@@ -99,11 +89,8 @@ def _split(raw: DataFrame) -> DataFrame:
     Putting the parts of a plain batch back together gives the message again,
     byte for byte, and that proves all there is to check: no other keys, nothing
     after the object, no element but objects.  Only a message that differs, if
-    just in its spacing, is looked at more closely.
-
-    Splitting takes the quotes off an element that is a string, and a quoted
-    ``"{...}"`` would then pass for an event.  Messages that could hold such an
-    element are opened as variants too, which know what each element is.
+    just in its spacing, is looked at more closely: its elements, whatever they
+    are, are cut out of its text by ``functions.elements``.
 
     The message bytes go on as ``_whole`` only where a reject may need them:
     carried along, they would be copied once for every event of the message.
@@ -111,30 +98,22 @@ def _split(raw: DataFrame) -> DataFrame:
     split = raw.selectExpr("*", f"{_from_json(_TEXT, 'events array<string>')}.events AS _parts")
     same = f"""concat('{{"events":[', array_join(_parts, ','), ']}}') = {_TEXT}"""
     judged = split.selectExpr("*", f"coalesce({same}, false) AS _plain")
-    odd = "exists(_parts, e -> e IS NULL OR NOT startswith(e, '{'))"
-    variants = f"{_from_json(_TEXT, 'events array<variant>')}.events"
-    opened = judged.selectExpr("*", f"CASE WHEN NOT _plain AND ({odd} OR {_SUSPECT}) THEN {variants} END AS _variants")
     fault = f"""CASE
       WHEN _plain THEN NULL
       WHEN {_NOT_TEXT} THEN {literal(ERR_UTF8 + HINT_BINARY)}
       WHEN {_NOT_OBJECT} THEN concat({literal(ERR_MESSAGE)}, {_HINT})
       WHEN size({_KEYS}) > 1 OR array_position({_KEYS}, 'events') <> size({_KEYS}) THEN {literal(ERR_ENVELOPE)}
       WHEN _parts IS NULL AND get_json_object({_TEXT}, '$.events') IS NOT NULL THEN {literal(ERR_EVENTS)}
-      WHEN _parts IS NOT NULL AND _variants IS NULL AND {_SUSPECT} THEN {literal(ERR_UNCLEAR)}
-    END"""
-    quoted = "CASE WHEN schema_of_variant(get(_variants, i)) = 'STRING' THEN to_json(get(_variants, i)) END"
-    events = f"""CASE
-      WHEN _plain THEN _parts
-      WHEN _fault IS NULL AND (_variants IS NOT NULL OR exists(_parts, e -> e IS NULL))
-        THEN transform(_parts, (e, i) -> coalesce({quoted}, e, 'null'))
-      WHEN _fault IS NULL THEN _parts
     END"""
-    altered = f"exists(_parts, e -> contains(e, {literal(_OVERFLOW)}))"
-    return opened.selectExpr("*", f"{fault} AS _fault").selectExpr(
+    told = judged.selectExpr("*", f"{fault} AS _fault")
+    odd = told.selectExpr("*", f"CASE WHEN NOT _plain AND _fault IS NULL THEN {_TEXT} END AS _odd")
+    scanned = odd.selectExpr("*", f"{pieces(blanked('_odd'))} AS _pieces").selectExpr("*", f"{running('_pieces')} AS _sums")
+    placed = scanned.selectExpr("*", f"{bounds('_sums', '_pieces', 2)} AS _places")
+    return placed.selectExpr(
         *_carried(raw),
         "_fault",
-        f"{events} AS _events",
-        f"CASE WHEN NOT _plain AND (_fault IS NOT NULL OR {altered}) THEN payload END AS _whole",
+        f"CASE WHEN _plain THEN _parts ELSE {cut('_odd', '_places')} END AS _events",
+        "CASE WHEN _fault IS NOT NULL THEN payload END AS _whole",
     )
 
 

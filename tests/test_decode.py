@@ -142,7 +142,7 @@ def test_list_elements_that_are_no_objects_are_rejects_at_their_place(messages):
 def test_a_text_that_looks_like_an_object_is_no_event_even_beside_doubled_keys(messages):
     raw = messages(b'{"events":["{\\"event_id\\":\\"q\\"}",{"event_id":"a","tags":{"k":"1","k":"2"}}]}')
     assert rows(raw) == []
-    assert [(b.idx, b.reason) for b in rejects(raw)] == [(-1, "unmarshal")]
+    assert [(b.idx, b.reason) for b in rejects(raw)] == [(0, "unmarshal"), (1, "unmarshal")]
 
 
 @pytest.mark.parametrize("quoted", [b'"{\\"event_id\\":\\"q\\"}"', b'" {}"', b'"\\u007b\\u0022event_id\\u0022:\\u0022q\\u0022}"', b'"\\n{}"'])
@@ -215,3 +215,23 @@ def test_decoding_shuffles_nothing_and_runs_no_python(messages):
         plan = plan_of(df)
         assert "Exchange" not in plan and "Python" not in plan
     assert plan_of(rl.to_rows(rl.decode(messages(b"{}"), rl.BATCH))).count("execution_subject:string") <= 1
+
+
+LONG_NUMBER = b'{ "event_id" : "", "time":"2024-01-01T00:00:00Z", "cost_usd" : 0.12345678901234567890123, "x": "a \\" ] } , {" }'
+
+
+@pytest.mark.parametrize("between", [b",", b" ,\n ", b"\t,\r\n"])
+def test_elements_are_cut_out_of_the_text_as_they_were_sent(messages, between):
+    odd = [LONG_NUMBER, b'"{\\"event_id\\":1}"', b"null", b"[[1], [2, {}]]", b"-1.50e+1", b'{"event_id":"a\\\\","tags":{"k":"1","k":"2"}}', b'"\xc3\xa9,[\xf0\x9f\x98\x80"', b"{ }"]
+    good = single(event("a", error_detail="\U0001f600 [,] {\\}"))
+    raw = messages(b' {"events" : [ ' + between.join([*odd, good]) + b" ] } ")
+    bad = sorted(rejects(raw), key=lambda b: b.idx)
+    assert [bytes(b.payload) for b in bad] == odd and [b.idx for b in bad] == list(range(len(odd)))
+    assert [(r.idx, r.event_id) for r in rows(raw)] == [(len(odd), "a")]
+
+
+def test_a_spaced_message_of_many_deep_events_loses_none(messages):
+    deep = b'{"event_id":"d","time":"2024-01-01T00:00:00Z","more":' + b"[" * 300 + b"{},[ ]" + b"]" * 300 + b"}"
+    many = [single(event(f"e{i}", x=[i, {"y": [i]}])) for i in range(3000)]
+    raw = messages(b'{"events": [' + b", ".join([*many, deep]) + b"]}")
+    assert rl.to_rows(rl.decode(raw, rl.BATCH)).count() == 3001 and rejects(raw) == []
