@@ -43,9 +43,11 @@ from recordlake.schema import COLUMN_NAMES, COLUMNS, column_named
 from recordlake.session import configure, local_session, scratch_path, shared_dir
 from recordlake.sinks.deadletter import dead_once, dead_subject_for, distinct_dead, read_dead, to_dead, write_dead
 from recordlake.sinks.lake import lake_path, write_lake
+from recordlake.sinks.manifest import part_to_messages, read_manifest
 from recordlake.sources.lake import SchemaMismatch, lake_parts, read_lake
 from recordlake.sources.raw import drop_duplicates, filter_subject, raw_stream, raw_table, subject_parts
 from recordlake.streaming.drain import drain, flush, read_flushes
-from recordlake.streaming.tail import Tail, last_messages, since_age, tail, tail_rows, tail_stream
+from recordlake.streaming.published import first_of_each, fold_published, publish_once
+from recordlake.streaming.tail import Tail, follow, last_messages, since_age, tail, tail_rows, tail_stream
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -175,7 +175,7 @@ def event_texts(raw: DataFrame, envelope: str, keep_empty: bool = False) -> Data
     raise ValueError(f"envelope {envelope!r}: want {BATCH!r} or {EVENT!r}")
 
 
-def decode(raw: DataFrame, envelope: str, keep_empty: bool = False) -> DataFrame:
+def decode(raw: DataFrame, envelope: str, keep_empty: bool = False, beside: tuple[str, ...] = ()) -> DataFrame:
     """Rows and rejects of every message, in one narrow pass over ``raw``.
 
     Each event gives one record with ``idx`` (its place in the message, -1 for
@@ -185,7 +185,8 @@ def decode(raw: DataFrame, envelope: str, keep_empty: bool = False) -> DataFrame
 
     An empty batch yields nothing.  With ``keep_empty`` it yields one record
     whose ``idx``, ``row`` and ``reason`` are NULL, so that messages can be
-    counted without a second pass over the source.
+    counted without a second pass over the source.  Columns of ``raw`` named in
+    ``beside`` go along with every record of their message.
     """
     events = event_texts(raw, envelope, keep_empty)
     parsed = events.selectExpr("*", f"CASE WHEN _fault IS NULL THEN {_parsed('_text')} END AS _event")
@@ -199,6 +200,7 @@ def decode(raw: DataFrame, envelope: str, keep_empty: bool = False) -> DataFrame
       WHEN reason = '{NO_TIME}' THEN {literal(ERR_NO_TIME)}
     END"""
     return timed.selectExpr("*", f"{reason} AS reason").selectExpr(
+        *beside,
         "stream",
         "subject",
         "seq",

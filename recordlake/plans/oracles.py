@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from recordlake.plans.queries import AGE, BUDGET, LAST, NOW
+from recordlake.plans.queries import AGE, BUDGET, FLUSH_ROWS, LAST, NOW
 from recordlake.schema import COLUMNS
 
 # Each event with its message number, place and faults, and each message's kind.
@@ -256,4 +256,36 @@ SELECT * FROM (
     "usage_by_tenant_day": f"SELECT {_USAGE} FROM good GROUP BY 1, 2",
 }
 
+_BODIES["drain_row_bounded"] = f""", counted AS (
+  SELECT raw.seq, row_number() OVER (ORDER BY raw.seq) AS place,
+    (SELECT count(*) FROM good g WHERE g.seq = raw.seq) AS rows, (SELECT count(*) FROM rejects r WHERE r.seq = raw.seq) AS rejects FROM raw),
+walked AS (
+  SELECT seq, place, rows, rejects, rows AS held, CAST(0 AS BIGINT) AS flush_id FROM counted WHERE place = 1
+  UNION ALL
+  SELECT c.seq, c.place, c.rows, c.rejects, CASE WHEN w.held >= {FLUSH_ROWS} THEN c.rows ELSE w.held + c.rows END,
+    CASE WHEN w.held >= {FLUSH_ROWS} THEN w.flush_id + 1 ELSE w.flush_id END
+  FROM walked w JOIN counted c ON c.place = w.place + 1)
+SELECT flush_id, min(seq) AS first_seq, max(seq) AS last_seq, count(*) AS messages, CAST(sum(rows) AS BIGINT) AS rows,
+  CAST(sum(rejects) AS BIGINT) AS rejects FROM walked GROUP BY flush_id"""
+_BODIES["part_to_messages"] = """, top AS (SELECT max(seq) AS last FROM raw),
+counted AS (
+  SELECT seq, CAST(ts AS DATE) AS date, CASE WHEN user_id % 11 = 0 THEN '' ELSE event_type END AS app, count(*) AS rows FROM good GROUP BY ALL)
+SELECT unnest(['ledger', 'again']) AS origin,
+  CAST(CASE WHEN seq <= last // 3 THEN 0 WHEN seq <= 2 * last // 3 THEN 1 ELSE 2 END AS BIGINT) AS flush, date, app, seq, rows FROM counted, top"""
+_ODD = """'{ "event_id":"" ,' || chr(10) || ' "n":' || event_id || ' ,' || chr(10) || ' "cost_usd" : 0.12345678901234567890123 }'"""
+_BODIES["decode_odd_messages"] = f"""SELECT seq, idx, CASE WHEN event_id % 5 IN (0, 4) THEN 'ev-' || event_id ELSE '' END AS event_id,
+  CASE event_id % 5 WHEN 1 THEN 'missing_event_id' WHEN 2 THEN 'unmarshal' WHEN 3 THEN 'unmarshal' ELSE '' END AS reason,
+  CASE event_id % 5 WHEN 1 THEN {_ODD} WHEN 2 THEN '{{ "event_id" : "ev-' || event_id || '" ,' || chr(10) || ' "tags":{{"k":"1","k":"2"}} }}'
+    WHEN 3 THEN '"{{' || event_id || ' ]}}"' ELSE '' END AS text
+FROM f"""
+_BODIES["tail_follow_unreadable"] = f"""SELECT 'line' AS kind, seq, idx, {_line(SENT)} AS told FROM good WHERE event_type <> 'error'
+UNION ALL
+SELECT 'unreadable', seq, idx, subject || ' seq ' || seq || ': unreadable: ' || {_RENDERED} FROM rejects"""
+_BODIES["duplicate_ids_stream"] = """, sent AS (SELECT stream, subject, seq, published_at, payload, 'm-' || seq AS message_id FROM raw)
+SELECT stream, subject, seq, published_at, payload, message_id FROM sent
+UNION ALL SELECT stream, subject, 0, published_at, payload, NULL FROM sent, range(2) WHERE seq % 10 = 4
+UNION ALL SELECT stream, subject, NULL, published_at, payload, '' FROM sent WHERE seq % 10 = 5
+UNION ALL SELECT stream, subject, seq, published_at, payload, NULL FROM sent WHERE seq % 10 = 6"""
+
 ORACLES: dict[str, str] = {name: PRELUDE + body for name, body in _BODIES.items()}
+ORACLES["drain_row_bounded"] = ORACLES["drain_row_bounded"].replace("WITH f AS", "WITH RECURSIVE f AS", 1)

@@ -102,6 +102,53 @@ def drained(spark: SparkSession, sf_dir: str) -> str:
     return _derived(spark, sf_dir, "drained", make)
 
 
+#: Rows after which the row-bounded drain flushes.
+FLUSH_ROWS = 2_000
+
+
+def flushed_by_rows(spark: SparkSession, sf_dir: str) -> str:
+    """The flush log of a drain that took all messages as one batch and flushed by rows."""
+
+    def make(root: str) -> None:
+        landing = _derived(spark, sf_dir, "ledger-raw", lambda p: fx.land(spark, fx.raw_messages(spark, sf_dir), p))
+        rl.drain(
+            rl.raw_stream(spark, landing, max_files=None),
+            rl.BATCH,
+            lake=f"{root}/lake",
+            dead=f"{root}/dead",
+            checkpoint=f"{root}/checkpoint",
+            flush_log=f"{root}/flushes",
+            available_now=True,
+            max_rows=FLUSH_ROWS,
+        ).awaitTermination()
+
+    return f"{_derived(spark, sf_dir, 'flushed-by-rows', make)}/flushes"
+
+
+def recorded(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the messages landed in three files (``raw``), drained by two drains into one lake with a ``manifest``."""
+
+    def make(root: str) -> None:
+        raw = messages(spark, sf_dir)
+        last = raw.agg(F.max("seq")).first()[0]
+        third = F.expr(f"CASE WHEN seq <= {last} div 3 THEN 0 WHEN seq <= 2 * {last} div 3 THEN 1 ELSE 2 END")
+        for i in range(3):
+            raw.filter(third == i).coalesce(1).write.mode("append").parquet(f"{root}/raw")
+        for origin in ("ledger", "again"):
+            rl.drain(
+                rl.raw_stream(spark, f"{root}/raw", max_files=1),
+                rl.BATCH,
+                lake=f"{root}/lake",
+                dead=f"{root}/dead",
+                checkpoint=f"{root}/checkpoint-{origin}",
+                origin=origin,
+                manifest=f"{root}/manifest",
+                available_now=True,
+            ).awaitTermination()
+
+    return _derived(spark, sf_dir, "recorded", make)
+
+
 def _readable(df: DataFrame) -> DataFrame:
     """Payload bytes as text, for comparison."""
     return df.withColumn("payload", F.col("payload").cast("string"))
@@ -341,6 +388,78 @@ def drain_flush_log(spark, sf_dir):
     )
 
 
+def drain_row_bounded(spark, sf_dir):
+    return rl.read_flushes(spark, flushed_by_rows(spark, sf_dir)).select("flush_id", "first_seq", "last_seq", "messages", "rows", "rejects")
+
+
+def part_to_messages(spark, sf_dir):
+    root = recorded(spark, sf_dir)
+    held = rl.part_to_messages(rl.read_manifest(spark, f"{root}/manifest"), rl.raw_table(spark, f"{root}/raw"), rl.BATCH)
+    return held.select("origin", "flush", "date", "app", "seq", "rows").distinct()
+
+
+def decode_odd_messages(spark, sf_dir):
+    """Every event of spaced and oddly spelled messages: the id of a row, the reason and the very text of a reject."""
+    path = _derived(spark, sf_dir, "odd-raw", lambda p: fx.land(spark, fx.odd_messages(spark, sf_dir), p))
+    decoded = rl.decode(rl.raw_table(spark, path), rl.BATCH)
+    rows = rl.to_rows(decoded, "seq", "idx").select("seq", "idx", "event_id", F.lit("").alias("reason"), F.lit("").alias("text"))
+    bad = rl.to_rejects(decoded).select("seq", "idx", F.lit("").alias("event_id"), "reason", F.col("payload").cast("string").alias("text"))
+    return rows.unionAll(bad)
+
+
+def tail_follow_unreadable(spark, sf_dir):
+    """Both outputs of a follow that was stopped half-way and started again."""
+
+    def make(root: str) -> None:
+        raw = messages(spark, sf_dir)
+        for half in (F.col("seq") % 2 == 0, F.col("seq") % 2 == 1):
+            raw.filter(half).write.mode("append").parquet(f"{root}/raw")
+            rl.follow(
+                spark,
+                f"{root}/raw",
+                rl.BATCH,
+                lines=f"{root}/lines",
+                unreadable=f"{root}/unreadable",
+                checkpoint=f"{root}/checkpoint",
+                from_start=True,
+                filters=["outcome=ok"],
+                available_now=True,
+            ).awaitTermination()
+
+    root = _derived(spark, sf_dir, "followed-both", make)
+    lines = spark.read.schema("seq bigint, idx int, line string").parquet(f"{root}/lines")
+    notes = spark.read.schema("subject string, seq bigint, idx int, message string").parquet(f"{root}/unreadable")
+    told = lines.select(F.lit("line").alias("kind"), "seq", "idx", F.col("line").alias("told"))
+    return told.unionAll(notes.select(F.lit("unreadable"), "seq", "idx", "message"))
+
+
+def duplicate_ids_stream(spark, sf_dir):
+    """Messages by the ids of their publishers, over a restart: copies under other sequences, and some without id or sequence."""
+
+    def make(root: str) -> None:
+        raw = messages(spark, sf_dir).withColumn("message_id", F.concat(F.lit("m-"), F.col("seq").cast("string")))
+        on = lambda r: raw.filter(F.col("seq") % 10 == r)
+        bare = F.lit(None).cast("string")
+        copies = on(3).withColumn("seq", F.col("seq") + 1_000_000)
+        zero = on(4).withColumn("seq", F.lit(0).cast("long")).withColumn("message_id", bare)
+        null = on(5).withColumn("seq", F.lit(None).cast("long")).withColumn("message_id", F.lit(""))
+        unnamed = on(6).withColumn("message_id", bare)
+        again = copies.unionByName(copies).unionByName(zero).unionByName(zero).unionByName(null).unionByName(unnamed).unionByName(unnamed)
+        for part in (raw, again):
+            part.write.mode("append").parquet(f"{root}/incoming")
+            rl.publish_once(
+                rl.raw_stream(spark, f"{root}/incoming", message_ids=True),
+                f"{root}/landed",
+                f"{root}/ids",
+                f"{root}/checkpoint",
+                window=dt.timedelta(hours=1),
+                available_now=True,
+            ).awaitTermination()
+
+    landed = rl.raw_table(spark, f"{_derived(spark, sf_dir, 'published', make)}/landed", message_ids=True)
+    return _readable(landed).select("stream", "subject", "seq", "published_at", "payload", "message_id")
+
+
 def _sizes(raw: DataFrame) -> DataFrame:
     return raw.select("seq", "subject", F.length("payload").cast("long").alias("bytes"))
 
@@ -437,6 +556,11 @@ QUERIES: dict[str, Query] = {
         drain_available_now,
         drain_dead_letters,
         drain_flush_log,
+        drain_row_bounded,
+        part_to_messages,
+        decode_odd_messages,
+        tail_follow_unreadable,
+        duplicate_ids_stream,
         retain_newest,
         retain_by_age,
         admit_oldest,

@@ -119,6 +119,9 @@ RAW_SCHEMA = T.StructType(
     ]
 )
 
+#: Messages with the id their publisher gave them; NULL or empty where there was none.
+RAW_ID_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField("message_id", STRING)])
+
 REJECT_SCHEMA = T.StructType(
     [
         T.StructField("stream", STRING),
@@ -158,3 +161,18 @@ FLUSH_SCHEMA = T.StructType(
         T.StructField("drain", STRING),
     ]
 )
+
+MANIFEST_SCHEMA = T.StructType(
+    [
+        T.StructField("part", STRING),
+        T.StructField("date", T.DateType()),
+        T.StructField("app", STRING),
+        T.StructField("bytes", LONG),
+        T.StructField("stream", STRING),
+        T.StructField("first_seq", LONG),
+        T.StructField("last_seq", LONG),
+        T.StructField("origin", STRING),
+        T.StructField("drain", STRING),
+        T.StructField("flush", LONG),
+    ]
+)

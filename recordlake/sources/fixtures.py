@@ -131,6 +131,27 @@ def raw_messages(spark: SparkSession, sf_dir: str, envelope: str = BATCH, extra:
     ).select(*RAW_SCHEMA.fieldNames())
 
 
+def odd_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test event in messages that are spaced and spelled oddly: two of five events are good, in any spacing."""
+    event = lambda *fields: "concat('{ ', " + ", ' ,\n ', ".join(fields) + ", ' }')"
+    named = """concat('"event_id" : "ev-', event_id, '"')"""
+    timed = f"""concat('"time" :"', {rfc3339("ts")}, '"')"""
+    number = """'"cost_usd" : 0.12345678901234567890123'"""
+    text = f"""CASE event_id % 5
+      WHEN 0 THEN {event(named, timed, number, """'"feature" : "a [,] {{ b "'""")}
+      WHEN 1 THEN {event("""'"event_id":""'""", "concat('\"n\":', event_id)", number)}
+      WHEN 2 THEN {event(named, """'"tags":{{"k":"1","k":"2"}}'""")}
+      WHEN 3 THEN concat('"{{', event_id, ' ]}}"')
+      ELSE {event(named, timed, """'"more":[{{"x":[1, {{}}]}},"]"]'""")}
+    END""".replace("{{", "{").replace("}}", "}")
+    placed = with_faults(events_table(spark, sf_dir)).selectExpr("seq", "idx", "ts", f"{text} AS text")
+    whole = placed.groupBy("seq").agg(F.max("ts").alias("published_at"), F.array_sort(F.collect_list(F.struct("idx", "text"))).alias("events"))
+    payload = F.concat(F.lit('{ "events" : [\n'), F.array_join(F.col("events.text"), " ,\r\n\t"), F.lit(" ] }"))
+    return whole.select(
+        F.lit(STREAM).alias("stream"), F.lit(SUBJECT).alias("subject"), "seq", "published_at", F.encode(payload, "UTF-8").alias("payload")
+    )
+
+
 def redelivered(raw: DataFrame) -> DataFrame:
     """Every message once, and those with ``seq % 10 = 3`` a second time, unchanged."""
     return raw.unionAll(raw.filter(F.col("seq") % 10 == 3))

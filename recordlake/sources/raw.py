@@ -5,26 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlake.schema import RAW_SCHEMA
+from recordlake.schema import RAW_ID_SCHEMA, RAW_SCHEMA
 
 #: Files per micro-batch unless told otherwise.
 DEFAULT_MAX_FILES = 512
 
 
-def raw_table(spark: SparkSession, path: str) -> DataFrame:
-    """Messages at rest: a snapshot, read without consuming anything."""
-    return spark.read.schema(RAW_SCHEMA).option("pathGlobFilter", "*.parquet").parquet(path)
+def raw_table(spark: SparkSession, path: str, message_ids: bool = False) -> DataFrame:
+    """Messages at rest: a snapshot, read without consuming anything; with the ids of their publishers if asked for."""
+    return spark.read.schema(RAW_ID_SCHEMA if message_ids else RAW_SCHEMA).option("pathGlobFilter", "*.parquet").parquet(path)
 
 
 def raw_stream(
-    spark: SparkSession, path: str, max_files: int | None = DEFAULT_MAX_FILES, max_bytes: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files: int | None = DEFAULT_MAX_FILES,
+    max_bytes: int | None = None,
+    message_ids: bool = False,
 ) -> DataFrame:
     """Messages as they land.  How much one micro-batch takes is bounded by files or, when given, by bytes.
 
     Any other streaming source will do for the drain and the tail, as long as
     it yields ``RAW_SCHEMA``.
     """
-    reader = spark.readStream.schema(RAW_SCHEMA).option("pathGlobFilter", "*.parquet")
+    reader = spark.readStream.schema(RAW_ID_SCHEMA if message_ids else RAW_SCHEMA).option("pathGlobFilter", "*.parquet")
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     elif max_files is not None:
@@ -65,8 +69,15 @@ def drop_duplicates(df: DataFrame, keys: tuple[str, ...] = ("stream", "seq"), wi
     passes, and a copy that comes after the window passes again.  Only a clock set
     back by more than the window could make a batch late.  The drain does
     without: copies are kept there and folded by the reader.
+
+    A message whose sequence is unknown (0 or NULL) is no copy of another: all of them
+    are kept.  ``streaming.published`` goes by the ids of publishers instead.
     """
-    if not df.isStreaming:
-        return df.dropDuplicates(list(keys))
-    timed = df.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", window)
-    return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_arrived")
+    unknown = F.coalesce(F.col("seq") <= 0, F.lit(True)) if "seq" in keys else F.lit(False)
+    known = df.filter(~unknown)
+    if df.isStreaming:
+        timed = known.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", window)
+        once = timed.dropDuplicatesWithinWatermark(list(keys)).drop("_arrived")
+    else:
+        once = known.dropDuplicates(list(keys))
+    return once.unionByName(df.filter(unknown)) if "seq" in keys else once

@@ -1,7 +1,7 @@
 """The drain: micro-batches of messages into the lake, acknowledged only once they are durable.
 
-Each micro-batch writes its dead letters, then its rows, then its line in the
-flush log.  The checkpoint commit that follows is the acknowledgement.  An
+Each micro-batch writes its dead letters, then its rows, then the manifest of its parts
+and its line in the flush log.  The checkpoint commit that follows is the acknowledgement.  An
 error on the way escapes, the batch is not committed, and a restart gets the
 same messages again: rows may then be there twice, never not at all.
 """
@@ -12,13 +12,16 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
 from recordlake.operators.decode import FLUSH_FIGURES, decode, to_rejects, to_rows
 from recordlake.schema import FLUSH_SCHEMA
 from recordlake.sinks.deadletter import UNKNOWN_ORIGIN, to_dead, write_dead
 from recordlake.sinks.lake import write_lake
+from recordlake.sinks.manifest import record_parts
 
 #: How long a record waits at most before it is queryable.
 DEFAULT_INTERVAL = "5 minutes"
@@ -36,6 +39,13 @@ _REJECT_SPAN = (
 #: The drain of a batch that was landed by ``flush`` alone.
 DIRECT = "direct"
 
+#: Rows after which a batch is flushed where a bound is asked for: parts worth a query.
+DEFAULT_MAX_ROWS = 250_000
+#: Flushes that one batch may be split into; its flushes are numbered from its own number times this.
+FLUSHES_PER_BATCH = 1 << 20
+
+_ARRIVAL = "_arrival"
+
 
 def write_flush(spark: SparkSession, path: str, flush_id: int, stats: Row, origin: str, drain_id: str = DIRECT) -> None:
     """Record one flush in a directory of its own, so that a replayed batch replaces its line and no other's.
@@ -58,6 +68,88 @@ def read_flushes(spark: SparkSession, path: str) -> DataFrame:
     return log.select(*FLUSH_SCHEMA.fieldNames())
 
 
+def _place() -> tuple[Column, Column]:
+    """What orders the messages of a batch: the sequence, and among copies and unknown sequences the order read."""
+    return F.coalesce("seq", F.lit(0)).alias("seq"), F.col(_ARRIVAL)
+
+
+def flush_bounds(decoded: DataFrame, max_rows: int) -> list[Row]:
+    """The messages (``seq``, ``_arrival``) that bring a flush to ``max_rows`` rows or more, in order.
+
+    Rows are counted by message, and messages laid out in ranges.  A first pass sums up every range, a second adds
+    the ranges before it to the running sum within, so that no task holds more than a range.  The
+    next bound is the first message whose sum is ``max_rows`` past the last bound's; a search each, over
+    two numbers a message.  What passes through the driver is a sum for every range and a row for every flush.
+    """
+    spark = decoded.sparkSession
+    units = decoded.groupBy(*_place()).agg(F.count("row").alias("rows"))
+    ranged = units.repartitionByRange("seq", _ARRIVAL).select("*", F.spark_partition_id().alias("part")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        before, offsets = 0, []
+        for r in ranged.groupBy("part").agg(F.sum("rows").alias("rows")).orderBy("part").collect():
+            offsets.append((r["part"], before))
+            before += r["rows"]
+        if before < max_rows:
+            return []
+        within = F.sum("rows").over(Window.partitionBy("part").orderBy("seq", _ARRIVAL))
+        known = spark.createDataFrame(offsets, "part int, before long")
+        sums = ranged.withColumn("within", within).join(known, "part").select("seq", _ARRIVAL, (F.col("within") + F.col("before")).alias("to"))
+        sums = sums.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            found, at = [], 0
+            while (one := sums.filter(F.col("to") >= at + max_rows).agg(F.min(F.struct("to", "seq", _ARRIVAL))).first()[0]) is not None:
+                found.append(one)
+                at = one["to"]
+            return found
+        finally:
+            sums.unpersist()
+    finally:
+        ranged.unpersist()
+
+
+def _between(decoded: DataFrame, after: Row | None, upto: Row | None) -> DataFrame:
+    """The records of the messages behind one bound, up to and with another."""
+    seq, arrival = _place()
+    for bound, past in ((after, True), (upto, False)):
+        if bound is not None:
+            same = (seq == bound["seq"]) & ((arrival > bound[_ARRIVAL]) if past else (arrival <= bound[_ARRIVAL]))
+            decoded = decoded.filter(((seq > bound["seq"]) if past else (seq < bound["seq"])) | same)
+    return decoded
+
+
+def _land(
+    decoded: DataFrame,
+    batch_id: int,
+    flush_id: int,
+    origin: str,
+    lake: str | Writer,
+    dead: str | Writer,
+    prefix: str,
+    flush_log: str | None,
+    drain_id: str,
+    manifest: str | None,
+) -> Row:
+    """One flush: dead letters first, rows second, the manifest of its parts and the log last."""
+    spark = decoded.sparkSession
+    stats = decoded.selectExpr(*FLUSH_FIGURES, *_REJECT_SPAN, "min(stream) AS stream").first()
+    if stats["rejects"]:
+        letters = to_dead(to_rejects(decoded), origin)
+        if callable(dead):
+            dead(letters, batch_id)
+        else:
+            write_dead(letters, dead, (stats["first_reject"], stats["last_reject"]), origin or UNKNOWN_ORIGIN)
+    if stats["rows"]:
+        if callable(lake):
+            lake(to_rows(decoded), batch_id)
+        else:
+            write_lake(to_rows(decoded), lake, prefix)
+            if manifest:
+                record_parts(spark, manifest, lake, prefix, to_rows(decoded), stats, flush_id, origin or UNKNOWN_ORIGIN, drain_id)
+    if flush_log:
+        write_flush(spark, flush_log, flush_id, stats, origin or UNKNOWN_ORIGIN, drain_id)
+    return stats
+
+
 def flush(
     batch: DataFrame,
     batch_id: int,
@@ -68,28 +160,32 @@ def flush(
     prefix: str | None = None,
     flush_log: str | None = None,
     drain_id: str = DIRECT,
+    max_rows: int | None = None,
+    manifest: str | None = None,
 ) -> Row:
-    """Land one micro-batch: dead letters first, rows second, the log last.
+    """Land one micro-batch: dead letters first, rows second, the manifest and the log last.
 
-    The batch is decoded once and held while the three writes use it; blocks
-    lost with an executor are decoded again from the source.
+    The batch is decoded once and held while the writes use it; blocks
+    lost with an executor are decoded again from the source.  With ``max_rows``
+    it is landed in several flushes, in order of sequence: each ends with the message that
+    brings it to ``max_rows`` rows, so it is past the bound by less than that message.
+    The figures of the last flush are returned.  With ``manifest`` the parts of every flush are recorded.
     """
-    decoded = decode(batch, envelope, keep_empty=True).persist(StorageLevel.MEMORY_AND_DISK)
+    beside = (_ARRIVAL,) if max_rows else ()
+    numbered = batch.withColumn(_ARRIVAL, F.monotonically_increasing_id()) if max_rows else batch
+    decoded = decode(numbered, envelope, True, beside).persist(StorageLevel.MEMORY_AND_DISK)
+    to = (origin, lake, dead, origin if prefix is None else prefix, flush_log, drain_id, manifest)
     try:
-        stats = decoded.selectExpr(*FLUSH_FIGURES, *_REJECT_SPAN).first()
-        if stats["rejects"]:
-            letters = to_dead(to_rejects(decoded), origin)
-            if callable(dead):
-                dead(letters, batch_id)
-            else:
-                write_dead(letters, dead, (stats["first_reject"], stats["last_reject"]), origin or UNKNOWN_ORIGIN)
-        if stats["rows"]:
-            if callable(lake):
-                lake(to_rows(decoded), batch_id)
-            else:
-                write_lake(to_rows(decoded), lake, origin if prefix is None else prefix)
-        if flush_log:
-            write_flush(batch.sparkSession, flush_log, batch_id, stats, origin or UNKNOWN_ORIGIN, drain_id)
+        if not max_rows:
+            return _land(decoded, batch_id, batch_id, *to)
+        after, stats = None, None
+        bounds = flush_bounds(decoded, max_rows)
+        for k, upto in enumerate([*bounds, None]):
+            part = _between(decoded, after, upto)
+            if upto is None and bounds and part.isEmpty():
+                break
+            stats = _land(part.drop(_ARRIVAL), batch_id, batch_id * FLUSHES_PER_BATCH + k, *to)
+            after = upto
         return stats
     finally:
         decoded.unpersist()
@@ -106,6 +202,8 @@ def drain(
     interval: str = DEFAULT_INTERVAL,
     available_now: bool = False,
     flush_log: str | None = None,
+    max_rows: int | None = None,
+    manifest: str | None = None,
 ) -> StreamingQuery:
     """Start draining a stream of messages into the lake.
 
@@ -114,7 +212,8 @@ def drain(
     lake's prefix is the origin unless given.  No two drains may run under one origin
     or into one lake prefix at a time.  ``checkpoint`` is the durable
     name of the drain.  ``interval`` bounds how long a record waits; how much a
-    batch takes is bounded at the source, where rows are not counted yet.
+    batch takes is bounded at the source, where rows are not counted yet, and how many rows
+    one flush lands by ``max_rows``.  ``manifest`` is where the parts of every flush are recorded.
     """
     if not dead:
         raise ValueError("drain: a dead-letter target is required; pass a path or a writer")
@@ -128,7 +227,7 @@ def drain(
     def land(batch: DataFrame, batch_id: int) -> None:
         # The id that the checkpoint keeps: the same after a restart, another for another checkpoint.
         drain_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        flush(batch, batch_id, envelope, origin, lake, dead, prefix, flush_log, drain_id)
+        flush(batch, batch_id, envelope, origin, lake, dead, prefix, flush_log, drain_id, max_rows, manifest)
 
     writer = raw.writeStream.queryName(f"drain-{origin}").foreachBatch(land).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}

@@ -7,11 +7,14 @@ followed tail runs under a checkpoint of its own, never under the drain's.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from typing import NamedTuple
 
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from recordlake.functions.arguments import DEFAULT_LAST, Start, parse_filters, parse_since
 from recordlake.functions.text import instant_literal
@@ -100,11 +103,23 @@ def tail(
     """Look back into a stream: a JSON line for every matching row, and a note for every unreadable event."""
     start, filters = _begin(since, from_start), parse_filters(filters)
     messages = filter_subject(start_at(of_stream(raw, stream), start, now), subject)
-    decoded = decode(messages, envelope)
+    return _shown(decode(messages, envelope), filters, pretty, no_detail)
+
+
+def _shown(decoded: DataFrame, filters: Mapping[str, str], pretty: bool, no_detail: bool) -> Tail:
     lines = json_lines(_matching(decoded, filters), pretty, no_detail, ("seq", "idx"))
     told = F.concat("subject", F.lit(" seq "), "seq", F.lit(": unreadable: "), render_reject())
-    unreadable = to_rejects(decoded).select("subject", "seq", "idx", told.alias("message"))
-    return Tail(lines, unreadable)
+    return Tail(lines, to_rejects(decoded).select("subject", "seq", "idx", told.alias("message")))
+
+
+def _condition(spark: SparkSession, path: str, stream: str | None, start: Start, now: dt.datetime | None) -> str:
+    """Where a followed tail begins, as a condition that does not change when more messages land."""
+    if start.from_start:
+        return "true"
+    if start.age is not None:
+        return f"published_at >= {instant_literal((now or dt.datetime.now(dt.timezone.utc)) - start.age)}"
+    newest = of_stream(raw_table(spark, path), stream).agg(F.max("seq")).first()[0]
+    return "true" if newest is None else f"seq >= {newest - (start.last - 1)}"
 
 
 def tail_stream(
@@ -126,12 +141,67 @@ def tail_stream(
     result in append mode under a checkpoint used for nothing else.
     """
     start, filters = _begin(since, from_start), parse_filters(filters)
-    messages = of_stream(raw_stream(spark, path), stream)
-    if not start.from_start and start.age is not None:
-        messages = since_age(messages, start.age, now)
-    elif not start.from_start:
-        newest = of_stream(raw_table(spark, path), stream).agg(F.max("seq")).first()[0]
-        if newest is not None:
-            messages = messages.filter(F.col("seq") >= newest - (start.last - 1))
+    messages = of_stream(raw_stream(spark, path), stream).filter(_condition(spark, path, stream, start, now))
     decoded = decode(filter_subject(messages, subject), envelope)
     return json_lines(_matching(decoded, filters), pretty, no_detail, ("seq", "idx"))
+
+
+#: Writes what one micro-batch shows: ``(frame, batch id)``.  It has to tolerate copies.
+Writer = Callable[[DataFrame, int], None]
+
+
+def _settled(spark: SparkSession, checkpoint: str, settle: Callable[[], str]) -> str:
+    """The condition a follow began with: kept beside its checkpoint, so that a restart goes on from there."""
+    kept = f"{checkpoint.rstrip('/')}-begin"
+    try:
+        return spark.read.schema("condition string").parquet(kept).first()[0]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    condition = settle()
+    spark.createDataFrame([(condition,)], "condition string").coalesce(1).write.mode("overwrite").parquet(kept)
+    return condition
+
+
+def follow(
+    spark: SparkSession,
+    path: str,
+    envelope: str,
+    lines: str | Writer,
+    unreadable: str | Writer,
+    checkpoint: str,
+    subject: str = ">",
+    stream: str | None = None,
+    since: str | int | None = None,
+    from_start: bool = False,
+    filters: Iterable[str] | Mapping[str, str] = (),
+    pretty: bool = False,
+    no_detail: bool = False,
+    now: dt.datetime | None = None,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Follow a stream with both of a tail's outputs: the lines, and a note for every event that cannot be read.
+
+    Each micro-batch is decoded once and shown twice.  ``unreadable`` and ``lines`` are folders or
+    writers; in a folder every micro-batch has one of its own, which a repetition after a failure replaces, so that
+    nothing is shown twice or lost.  ``checkpoint`` is used for nothing else, and where the follow began is kept
+    beside it.  Nothing is consumed.
+    """
+    start, filters = _begin(since, from_start), parse_filters(filters)
+    condition = _settled(spark, checkpoint, lambda: _condition(spark, path, stream, start, now))
+    messages = filter_subject(of_stream(raw_stream(spark, path), stream).filter(condition), subject)
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        decoded = decode(batch, envelope).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            shown = _shown(decoded, filters, pretty, no_detail)
+            for frame, to in ((shown.unreadable, unreadable), (shown.lines, lines)):
+                if callable(to):
+                    to(frame, batch_id)
+                else:
+                    frame.write.mode("overwrite").parquet(f"{to}/batch={batch_id}")
+        finally:
+            decoded.unpersist()
+
+    writer = messages.writeStream.foreachBatch(show).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
