@@ -16,7 +16,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.scratch = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` that nothing reads any more, and let go of the shuffles that made later ones.
+
+    Spark removes the files of a shuffle once the driver's collector finds its plan
+    gone, which a driver with room to spare would put off until the disks are full.
+    """
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.scratch)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    jvm.System.gc()
 
 
 def packed(df: DataFrame) -> Column:

@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.llm.common import written
+from recordlake.llm.common import discard, written
 
 
 def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def _stars(edges: DataFrame) -> DataFrame:
-    """One round: every node's larger neighbours, then its smaller ones, are tied to its least neighbour."""
+def _large_stars(edges: DataFrame) -> DataFrame:
+    """Half a round: every node's larger neighbours are tied to its least neighbour."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    large = written(large.where("a <> b").distinct(), "stars")
+    return large.where("a <> b").distinct()
+
+
+def _small_stars(large: DataFrame) -> DataFrame:
+    """The other half: every node's smaller neighbours, and itself, are tied to the least of them."""
     down = large.groupBy("a").agg(F.min("b").alias("m"))
     small = large.join(down, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     tied = down.select("a", F.col("m").alias("b"))
@@ -37,5 +41,8 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
         if not now[0]:
             break
-        current = written(_stars(current), "links")
+        large = written(_large_stars(current), "stars")
+        following = written(_small_stars(large), "links")
+        discard(current, large)
+        current = following
     return current.select(F.col("a").alias("node"), F.col("b").alias("component"))

@@ -13,6 +13,10 @@ n - ceil(0.75 n) + 1 of either, its prefix.
    different classes are filtered by size and place, expanded and verified.
    No pair within a class is ever made, and none that could still link two classes is left out.
 
+Before whole sets meet, pairs are judged by sketches: a bit for every shingle, at eight bits or more a
+shingle.  A bit of one set that the other lacks is a shingle that the other lacks, so a pair whose bits leave too
+little in common cannot link; only what passes is shipped and counted whole.
+
 Shingles, groups and prefixes go by 64-bit hashes, sets and texts by 128.
 """
 
@@ -26,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recordlake.llm.common import documents, packed, written
+from recordlake.llm.common import discard, documents, packed, written
 from recordlake.llm.components import components
 from recordlake.llm.textkernel import shingles, slices
 
@@ -47,28 +51,58 @@ def _group(prefix: np.ndarray, n: int) -> int:
     return int.from_bytes(hashlib.md5(prefix.tobytes() + n.to_bytes(8, "little")).digest()[:8], "little", signed=True)
 
 
-def _set_rows(counts: np.ndarray):
+def sketch(held: np.ndarray) -> bytes:
+    """A bit for every shingle, by its lowest bits, in a power of two of at least eight bits a shingle."""
+    size = 1 << max(6, int(8 * len(held) - 1).bit_length())
+    bits = np.zeros(size, dtype=bool)
+    bits[(held & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _may_link(n_a: int, a: bytes, n_b: int, b: bytes) -> bool:
+    """False only for sketches of two sets that cannot link."""
+    a, b = np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)
+    size = min(len(a), len(b))
+    a, b = (np.bitwise_or.reduce(x.reshape(-1, size), axis=0) for x in (a, b))
+    lacks_a, lacks_b = int(np.bitwise_count(b & ~a).sum()), int(np.bitwise_count(a & ~b).sum())
+    most = min(n_a - lacks_b, n_b - lacks_a)
+    return (100 + PERCENT) * most >= PERCENT * (n_a + n_b)
+
+
+def _row_rows(counts: np.ndarray):
+    """Of every text its size, set key, group, prefix and sketch; null where it has no words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, gids = [], [], []
+            at = 0
             for _, data, offsets in slices(batch.column("text")):
+                sizes, keys, gids, prefixes, sketches = [], [], [], [], []
                 for held in shingles(data, offsets, WORDS):
                     sizes.append(len(held))
+                    prefix = _prefix(held, counts) if len(held) else None
+                    prefixes.append(prefix if prefix is None else prefix.view(np.int64))
                     keys.append(hashlib.md5(held.tobytes()).digest() if len(held) else None)
-                    gids.append(_group(_prefix(held, counts), len(held)) if len(held) else None)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(c) for c in ("doc_id", "text_key")),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(keys, pa.binary()),
-                    pa.array(gids, pa.int64()),
-                ],
-                ["doc_id", "text_key", "n", "set_key", "gid"],
-            )
+                    gids.append(_group(prefix, len(held)) if len(held) else None)
+                    sketches.append(sketch(held) if len(held) else None)
+                kinds = (pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary())
+                columns = [pa.array(c, k) for c, k in zip((sizes, keys, gids, prefixes, sketches), kinds)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).slice(at, len(sizes)) for c in ("doc_id", "text_key")), *columns],
+                    ["doc_id", "text_key", "n", "set_key", "gid", "prefix", "sketch"],
+                )
+                at += len(sizes)
 
     return run
 
 
+def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs (``a``, ``b``) that their sketches let through."""
+    for batch in batches:
+        cells = [batch.column(c).to_pylist() for c in ("n_a", "sketch_a", "n_b", "sketch_b")]
+        kept = pa.array([_may_link(*cell) for cell in zip(*cells)], pa.bool_())
+        yield batch.select(["a", "b"]).filter(kept)
+
+
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(BUCKETS, dtype=np.int64)
     for batch in batches:
@@ -84,23 +118,6 @@ def prefix_size(n):
     return n - (PERCENT * n + 99) // 100 + 1
 
 
-def _prefix_rows(counts: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for _, data, offsets in slices(batch.column("text")):
-                for held in shingles(data, offsets, WORDS):
-                    if len(held):
-                        prefix = _prefix(held, counts)
-                        rows.append((_group(prefix, len(held)), len(held), prefix.view(np.int64)))
-            gids, sizes, prefixes = list(zip(*rows)) or ([], [], [])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))], ["gid", "n", "prefix"]
-            )
-
-    return run
-
-
 def _whole_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         held = [s.view(np.int64) for _, data, offsets in slices(batch.column("text")) for s in shingles(data, offsets, WORDS)]
@@ -113,18 +130,22 @@ def _close(a: Column, b: Column) -> Column:
 
 
 def _verified(pairs: DataFrame, keyed: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The ``pairs`` (``a``, ``b``: set keys) that link, by their whole sets."""
-    pairs = written(pairs.distinct(), "jaccard-pairs")
+    """The ``pairs`` (``a``, ``b``: set keys) that link: by their sketches first, then by their whole sets."""
+    side = lambda s: chosen.select(F.col("set_key").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
+    told = pairs.distinct().join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b")
+    pairs = written(told.mapInArrow(_sketch_rows, "a binary, b binary"), "jaccard-pairs")
     needed = pairs.select(F.col("a").alias("set_key")).unionByName(pairs.select(F.col("b").alias("set_key"))).distinct()
-    rows = chosen.join(needed, "set_key").alias("c")
+    rows = written(chosen.join(needed, "set_key").select("set_key", "doc_id", "text_key"), "jaccard-needed")
     same = F.col("k.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("k.text_key") == F.col("c.text_key"))
-    texts = keyed.alias("k").join(rows, same).select("c.set_key", "k.text")
+    texts = keyed.alias("k").join(rows.alias("c"), same).select("c.set_key", "k.text")
     held = written(texts.mapInArrow(_whole_rows, "set_key binary, held array<bigint>"), "jaccard-sets")
     met = pairs.join(held.select(F.col("set_key").alias("a"), F.col("held").alias("x")), "a")
     met = met.join(held.select(F.col("set_key").alias("b"), F.col("held").alias("y")), "b")
     same = F.size(F.array_intersect("x", "y"))
     linked = met.where(100 * same >= PERCENT * (F.size("x") + F.size("y") - same))
-    return written(linked.select("a", "b"), "jaccard-links")
+    links = written(linked.select("a", "b").distinct(), "jaccard-links")
+    discard(pairs, rows, held)
+    return links
 
 
 def classes(rows: DataFrame) -> DataFrame:
@@ -134,19 +155,21 @@ def classes(rows: DataFrame) -> DataFrame:
     for r in rows.select("text").mapInArrow(_count_rows, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         counts[r["bucket"]] = r["n"]
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    sets = keyed.mapInArrow(_set_rows(counts), f"doc_id {id_type}, text_key binary, n long, set_key binary, gid long")
-    sets = written(sets, "jaccard-rows")
-    chosen = sets.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("gid").alias("gid"))
-    chosen = written(chosen.select("set_key", "gid", "one.*"), "jaccard-chosen")
+    shape = f"doc_id {id_type}, text_key binary, n long, set_key binary, gid long, prefix array<bigint>, sketch binary"
+    wide = written(keyed.mapInArrow(_row_rows(counts), shape), "jaccard-wide")
+    sets = written(wide.select("doc_id", "text_key", "n", "set_key"), "jaccard-rows")
+    some = F.min(F.struct("doc_id", "text_key")).alias("one")
+    chosen = wide.where("set_key IS NOT NULL").groupBy("set_key").agg(some, F.first("gid").alias("gid"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    chosen = written(chosen.select("set_key", "gid", "n", "sketch", "one.*"), "jaccard-chosen")
     members = chosen.select("gid", "set_key")
-    groups = rows.select("text").mapInArrow(_prefix_rows(counts), "gid long, n int, prefix array<bigint>")
-    groups = groups.groupBy("gid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    groups = wide.where("gid IS NOT NULL").groupBy("gid").agg(F.first("n").cast("int").alias("n"), F.first("prefix").alias("prefix"))
     tokens = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
     lists = Window.partitionBy("token").orderBy("n", "gid")
     hits = tokens.select(
         "token", "gid", "n", "pos", F.lag(F.struct("gid", "n")).over(lists).alias("prev"), F.lead("gid").over(lists).alias("next")
     ).where("prev IS NOT NULL OR next IS NOT NULL")
     hits = written(hits, "jaccard-hits")
+    discard(wide)
 
     # Neighbours in a row, and members of one group in a row.
     leaders = members.groupBy("gid").agg(F.min("set_key").alias("set_key"))
@@ -165,16 +188,18 @@ def classes(rows: DataFrame) -> DataFrame:
     listed = hits.select("token", "gid", "n", "pos").join(known.select("gid", "class").distinct(), "gid")
     mixed = listed.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("token")
     listed = written(listed.join(mixed, "token"), "jaccard-listed")
-    here = listed.groupBy("token", "class").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    here = listed.groupBy("token", "class").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("pos").alias("pos"))
     side = lambda df, s: df.select("token", *[F.col(c).alias(f"{c}_{s}") for c in df.columns if c != "token"])
-    kinds = side(here, "a").join(side(here, "b"), "token").where("class_a < class_b")
-    kinds = kinds.where((100 * F.col("most_a") >= PERCENT * F.col("least_b")) & (100 * F.col("most_b") >= PERCENT * F.col("least_a")))
-    wide = kinds.select("token", "class_a", "class_b").join(side(listed, "a"), ["token", "class_a"])
-    wide = wide.join(side(listed, "b"), ["token", "class_b"]).where(_close(F.col("n_a"), F.col("n_b")))
-    # What the places in the two prefixes leave of both sets must hold the overlap that a link needs.
-    left = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
-    found = wide.groupBy("gid_a", "class_a", "gid_b", "class_b").agg(F.max(left).alias("left"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
-    found = found.where((100 + PERCENT) * F.col("left") >= PERCENT * (F.col("n_a") + F.col("n_b")))
+    # Of two linked sets the first shingle that both prefixes hold leaves, in each set from its place on, the overlap
+    # that the link needs.  So the test may be made at every shared shingle, and for classes by their extremes.
+    room = lambda most, pos, other: (100 + PERCENT) * F.col(pos) <= 100 * F.col(most) - PERCENT * F.col(other)
+    fits = (100 * F.col("most_a") >= PERCENT * F.col("least_b")) & (100 * F.col("most_b") >= PERCENT * F.col("least_a"))
+    fits &= room("most_a", "pos_a", "least_b") & room("most_b", "pos_b", "least_a")
+    other = side(here, "b").withColumnRenamed("token", "token_b")
+    kinds = side(here, "a").join(other, (F.col("token") == F.col("token_b")) & (F.col("class_a") < F.col("class_b")) & fits)
+    apart = kinds.select("token", "class_a", "class_b").join(side(listed, "a"), ["token", "class_a"]).join(side(listed, "b"), ["token", "class_b"])
+    apart = apart.where(_close(F.col("n_a"), F.col("n_b")) & room("n_a", "pos_a", "n_b") & room("n_b", "pos_b", "n_a"))
+    found = apart.select("gid_a", "class_a", "gid_b", "class_b").distinct()
     of = lambda s: known.select(F.col("gid").alias(f"gid_{s}"), F.col("set_key").alias(s), F.col("class").alias(f"class_{s}"))
     apart = found.join(of("a"), ["gid_a", "class_a"]).join(of("b"), ["gid_b", "class_b"]).select("a", "b")
     split = known.groupBy("gid").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("gid")
@@ -183,7 +208,9 @@ def classes(rows: DataFrame) -> DataFrame:
         inner.select("gid", F.col("set_key").alias("b"), F.col("class").alias("cb")), "gid"
     )
     more = _verified(apart.unionByName(inner.where("ca < cb").select("a", "b")), keyed, chosen)
+    discard(hits, listed, known, first)
     last = written(components(links.unionByName(more)), "jaccard-classes")
+    discard(links, more, chosen)
     told = sets.join(last.select(F.col("node").alias("set_key"), "component"), "set_key", "left")
     return told.select("doc_id", "text_key", "n", "set_key", F.coalesce("component", "set_key").alias("class"))
 
