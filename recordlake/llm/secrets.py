@@ -10,6 +10,7 @@ pair recorded twice by two runs at once counts once.
 
 Patterns run in the JVM.  Spark gives the matches of a pattern and the texts
 between them, not their places; the lengths of both, added up, are the places.
+The work on a text is linear in its length, and in its matches but for a logarithm.
 """
 
 from __future__ import annotations
@@ -53,31 +54,30 @@ LEDGER_SCHEMA = "blob binary, kind string, version int, spans array<struct<start
 def rule_spans(text: Column, rule: Rule) -> Column:
     """The spans of a rule in a text, in code points: leftmost and not overlapping."""
     none = F.expr("CAST(array() AS array<struct<start:long,end:long>>)")
-    between = F.transform(F.split(text, rule.pattern, -1), lambda s: F.length(s).cast("long"))
-    matches = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-    values = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.value))
-    parts = F.transform(
-        F.arrays_zip(matches.alias("m"), values.alias("v")),
-        lambda z, i: F.struct(F.get(between, i).alias("gap"), F.length(z["m"]).alias("n"), F.length(z["v"]).alias("value")),
+    lengths = lambda found: F.transform(found, lambda x: F.length(x).cast("long"))
+    matches = lengths(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)))
+    values = lengths(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.value)))
+    between = lengths(F.split(text, rule.pattern, -1))
+    # There is one text between more than there are matches: the one after the last.
+    parts = F.filter(F.arrays_zip(matches.alias("n"), values.alias("value"), between.alias("to")), lambda z: z["n"].isNotNull())
+    steps = F.transform(parts, lambda z: F.struct(z["n"], z["value"], (z["to"] + z["n"]).alias("to")))
+    spans = F.transform(
+        F.filter(_running(steps), lambda x: x["value"] >= rule.least),
+        lambda x: F.struct((x["to"] - x["n"]).alias("start"), x["to"].alias("end")),
     )
-    begun = F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans"))
-    walked = F.aggregate(
-        parts,
-        begun,
-        lambda a, p: F.struct(
-            (a["at"] + p["gap"] + p["n"]).alias("at"),
-            F.when(
-                p["value"] >= rule.least,
-                F.array_append(
-                    a["spans"], F.struct((a["at"] + p["gap"]).alias("start"), (a["at"] + p["gap"] + p["n"]).alias("end"))
-                ),
-            )
-            .otherwise(a["spans"])
-            .alias("spans"),
-        ),
-        lambda a: a["spans"],
-    )
-    return F.when(F.rlike(text, F.lit(rule.pattern)), walked).otherwise(none)
+    return F.when(F.rlike(text, F.lit(rule.pattern)), spans).otherwise(none)
+
+
+def _running(steps: Column) -> Column:
+    """``to`` of every step added up from the first, by doubling: n steps take log n passes, each linear."""
+
+    def doubled(a: Column, s: Column) -> Column:
+        back = lambda i: F.get(a, i - F.pow(F.lit(2.0), s).cast("int"))
+        return F.transform(a, lambda x, i: F.struct(x["n"], x["value"], (x["to"] + F.coalesce(back(i)["to"], F.lit(0))).alias("to")))
+
+    passes = lambda a: F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(a), F.lit(1)))).cast("int"))
+    # Bound to a name by the array around it, so that the steps are worked out once.
+    return F.transform(F.array(steps), lambda a: F.aggregate(passes(a), a, doubled))[0]
 
 
 def open_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -90,13 +90,18 @@ def extend_ledger(versions: DataFrame, content: str, ledger_path: str, rules: tu
     """Scan the blobs of ``versions`` by the rules the ledger does not hold for them, and append what is found."""
     spark = versions.sparkSession
     text = F.coalesce(F.col(content), F.lit(""))
-    blobs = versions.select(text.alias("text"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("blob"))
-    blobs = blobs.groupBy("blob").agg(F.first("text").alias("text"))
+    hashed = versions.select(text.alias("text"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("blob"))
     seen = open_ledger(spark, ledger_path).groupBy("blob").agg(F.collect_set(F.concat("kind", F.lit("@"), "version")).alias("seen"))
-    wanted = F.array(*[F.lit(r.name) for r in rules])
-    fresh = blobs.join(seen, "blob", "left").where(
-        F.col("seen").isNull() | (F.size(F.array_except(wanted, F.col("seen"))) > 0)
-    )
+    if not seen.isEmpty():
+        # Hashes first: of the texts only those of blobs with something left to scan are moved.
+        wanted = F.array(*[F.lit(r.name) for r in rules])
+        left = hashed.select("blob").distinct().join(seen, "blob", "left").where(
+            F.col("seen").isNull() | (F.size(F.array_except(wanted, F.col("seen"))) > 0)
+        )
+        left = written(left, "secret-left")
+        hashed = hashed.join(left.select("blob"), "blob", "left_semi")
+        seen = left
+    fresh = hashed.groupBy("blob").agg(F.first("text").alias("text")).join(seen, "blob", "left")
     lacks = lambda rule: F.coalesce(~F.array_contains("seen", rule.name), F.lit(True))
     found = [
         F.when(
