@@ -1,7 +1,7 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 An item may occur in a document with up to k edits, k being one for every
-``CHARS_PER_EDIT`` of its characters.  Cut into k + 1 pieces, at least one piece
+``CHARS_PER_EDIT`` of its characters, and none for items under ``SHORT``.  Cut into k + 1 pieces, at least one piece
 of such an occurrence is untouched: an exact search for all pieces, by one
 automaton, gives every place worth a look, and Myers' bit-parallel edit distance
 decides there.  Texts are compared in lower case with runs of white space as one space.
@@ -24,8 +24,8 @@ from recordlake.llm.common import documents, packed, written
 
 CHARS_PER_EDIT = 16
 BLOCK_CHARS = 4_000_000
-#: Items shorter than this are ordinary phrases, no passages, and are not looked for.
-LEAST_CHARS = 32
+#: Items shorter than this are looked for as they are, with no edits, and between word boundaries only.
+SHORT = 32
 
 
 def normal(text: Column) -> Column:
@@ -33,7 +33,13 @@ def normal(text: Column) -> Column:
 
 
 def budget(item: str) -> int:
-    return len(item) // CHARS_PER_EDIT
+    return 0 if len(item) < SHORT else len(item) // CHARS_PER_EDIT
+
+
+def between_words(text: str, a: int, b: int) -> bool:
+    """True if no word goes on across either end of ``text[a:b]``."""
+    inside = lambda i: text[i - 1].isalnum() and text[i].isalnum()
+    return not ((a > 0 and inside(a)) or (b < len(text) and inside(b)))
 
 
 def pieces(item: str) -> list[tuple[int, str]]:
@@ -94,7 +100,10 @@ class Matcher:
         looked: dict[int, list[int]] = {}
         for end, (size, places) in self.automaton.iter(text):
             for i, start in places:
-                if i not in found:
+                if len(self.items[i][1]) < SHORT:
+                    if between_words(text, end - size + 1, end + 1):
+                        found.add(i)
+                elif i not in found:
                     looked.setdefault(i, []).append(end - size + 1 - start)
         for i, starts in looked.items():
             item, m = self.items[i][1], len(self.items[i][1])
@@ -114,14 +123,15 @@ class Matcher:
 def _items(benchmark: DataFrame) -> DataFrame:
     """``item_id`` and ``item``, the normal text, of the items looked for."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), normal(F.col("text")).alias("item"))
-    return rows.where(F.col("item_id").isNotNull() & (F.length("item") >= LEAST_CHARS)).distinct()
+    return rows.where(F.col("item_id").isNotNull() & (F.col("item") != "")).distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Every row as ``doc`` (all columns) with ``item_ids``, the sorted ids of the benchmark items found in its text.
 
-    A null or empty text holds no item.  Items without an id, and those of fewer
-    than ``LEAST_CHARS`` characters (null and empty ones too), are not looked for.
+    A null or empty text holds no item.  Items without an id and items without text
+    are not looked for.  An item of fewer than ``SHORT`` characters must stand in the text as it
+    is, and not as part of longer words.
     Items that repeat are each told; rows that repeat get the same answer.  An
     empty benchmark finds nothing, an empty table gives an empty result.
     """
