@@ -10,7 +10,7 @@ kernel by language.
 
 Fitted on at most ``PER_LANGUAGE`` documents of each language that are not held
 out, ``LANDMARKS`` of them landmarks; the n-grams of a landmark are bounded by
-their number of bytes.  The number of languages is taken to be small.
+their number of bytes.  More than ``LANGUAGES`` languages are an error.
 """
 
 from __future__ import annotations
@@ -25,11 +25,15 @@ from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField,
 
 from recordlake.llm.common import documents, held_out, packed, written
 from recordlake.llm.textkernel import slices
-from recordlake.llm.textmodels import features, has_letter
+from recordlake.llm.textmodels import features, has_letter, one_text_each
 
 LONGEST = 3
 PER_LANGUAGE = 300
 LANDMARKS = 40
+#: Languages that a model may have: with landmarks of each, what bounds the model.
+LANGUAGES = 500
+#: Parts that the documents of one language are ranked in first.
+SALTS = 64
 RIDGE = 1e-2
 UNKNOWN = "und"
 #: Texts by n-grams that are held at once; more texts are taken one block after another.
@@ -68,12 +72,22 @@ def presence(known: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.nda
 
 
 def training(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """``doc_id``, ``lang``, ``place`` and ``text`` of the documents learned from, chosen by a hash of the id."""
+    """``doc_id``, ``lang``, ``place`` and ``text`` of the documents learned from, chosen by a hash of the id.
+
+    Of rows that repeat an id and language the least text counts.
+    """
     learnable = docs.where(~held_out() & F.col("lang").isNotNull() & has_letter(F.col("text")))
     ids = learnable.groupBy("lang", "doc_id").agg(F.min(F.xxhash64("doc_id")).alias("h"))
-    ranked = ids.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
-    chosen = ranked.where(F.col("place") <= per_language).select("lang", "doc_id", "place")
-    return learnable.select("lang", "doc_id", "text").join(chosen, ["lang", "doc_id"])
+    # A language may have most documents: the first of each part of it, then the first of those.
+    salted = Window.partitionBy("lang", "salt").orderBy("h", "doc_id")
+    some = ids.withColumn("salt", F.pmod("h", F.lit(SALTS))).withColumn("place", F.row_number().over(salted))
+    some = some.where(F.col("place") <= per_language).drop("place")
+    ranked = some.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
+    chosen = written(ranked.where(F.col("place") <= per_language).select("lang", "doc_id", "place"), "lang-chosen")
+    found = chosen.select("lang").distinct().count()
+    if found > LANGUAGES:
+        raise ValueError(f"{found} languages to learn, at most {LANGUAGES}")
+    return one_text_each(learnable.select("lang", "doc_id", "text").join(chosen, ["lang", "doc_id"]))
 
 
 def fit(docs: DataFrame):

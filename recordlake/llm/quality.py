@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from recordlake.llm.common import documents, held_out, labels, written
 from recordlake.llm.textkernel import words
-from recordlake.llm.textmodels import SAMPLE_PER_CLASS, digest, features, labelled_sample, scored, sigmoid
+from recordlake.llm.textmodels import SAMPLE_PER_CLASS, digest, features, labelled_sample, one_text_each, scored, sigmoid
 
 THRESHOLD = 0.3
 RIDGE = 1e-4
@@ -86,7 +86,7 @@ def fit(docs: DataFrame, known: DataFrame, label: str = "quality", per_class: in
     trusted = labelled_sample(docs, known.where(F.col(label) == 1), label, per_class)
     order = [F.xxhash64(F.col("doc_id"), F.lit(1)), F.col("doc_id")]
     web_ids = docs.where(~held_out()).select("doc_id").distinct().orderBy(*order).limit(2 * per_class)
-    web = docs.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")).join(web_ids, "doc_id")
+    web = one_text_each(docs.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")).join(web_ids, "doc_id"))
     both = trusted.select("doc_id", "text", "y").unionByName(web.withColumn("y", F.lit(0)))
     x, rows = features(written(both, "quality-sample"), describe)
     y = np.array([r["y"] for r in rows])

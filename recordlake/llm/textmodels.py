@@ -53,13 +53,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     """``doc_id``, ``text`` and ``y`` of at most ``per_class`` rows of each of the classes 0 and 1, none of them held out.
 
     Of a document labelled twice the largest label counts; labels that are null or neither 0 nor 1 are left out.
+    Of rows that repeat an id the least text counts, so the bound holds whatever repeats.
     """
     known = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("y")).where("y IN (0, 1) AND doc_id IS NOT NULL")
     known = known.where(~held_out()).groupBy("doc_id").agg(F.max("y").alias("y"))
     order = [F.xxhash64(F.col("doc_id")), F.col("doc_id")]
     texts = docs.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     chosen = [known.where(F.col("y") == y).orderBy(*order).limit(per_class) for y in (0, 1)]
-    return texts.join(chosen[0].unionByName(chosen[1]), "doc_id")
+    return one_text_each(texts.join(chosen[0].unionByName(chosen[1]), "doc_id"))
+
+
+def one_text_each(rows: DataFrame) -> DataFrame:
+    """``rows`` with one row for each of their other columns' values: that of the least text, folded by task first."""
+    return rows.groupBy(*[c for c in rows.columns if c != "text"]).agg(F.min("text").alias("text"))
 
 
 def features(sample: DataFrame, make: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, list]:
