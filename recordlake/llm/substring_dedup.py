@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from recordlake.llm.common import documents, packed, written
+from recordlake.llm.common import discard, documents, packed, written
 from recordlake.llm.textkernel import rolling, slices, span_hashes
 
 WIDTH = 400
@@ -127,15 +127,18 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
     kinds = written(kinds, "substring-kinds")
     shared = kinds.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1").select("anchor")
     again = kinds.where("n > 1").select("anchor", "whole")
-    covered = found.join(again, ["anchor", "whole"]).select("key", "first", "last")
+    covered = written(found.join(again, ["anchor", "whole"]).select("key", "first", "last"), "substring-covered")
     opened = kinds.join(shared, "anchor").select("one.*", "n")
     opened = written(opened.withColumn("run", F.monotonically_increasing_id()), "substring-opened")
+    discard(found, kinds)
     wanted = opened.groupBy("key").agg(F.collect_list(F.struct("first", "last", "run", "n")).alias("opened"))
     strings = texts.join(wanted, "key").dropDuplicates(["key"]).mapInArrow(_string_rows, "hash long, run long, start long, n int")
     strings = written(strings, "substring-strings")
     twice = strings.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash")
     single = strings.where("n = 1").join(twice, "hash").groupBy("run").agg(F.collect_list("start").alias("starts"))
     single = single.join(opened.select("run", "key"), "run").select("key", F.explode("starts").alias("first"))
+    single = written(single, "substring-single")
+    discard(strings, opened)
     return covered.unionByName(single.withColumn("last", F.col("first"))).groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("covers"))
 
 
