@@ -163,10 +163,12 @@ def classes(rows: DataFrame) -> DataFrame:
     chosen = written(chosen.select("set_key", "gid", "n", "sketch", "one.*"), "jaccard-chosen")
     members = chosen.select("gid", "set_key")
     groups = wide.where("gid IS NOT NULL").groupBy("gid").agg(F.first("n").cast("int").alias("n"), F.first("prefix").alias("prefix"))
-    tokens = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
+    # Every shingle with the one before it in the prefix; the first has none.
+    linked = F.transform("prefix", lambda t, i: F.struct(t.alias("token"), F.get(F.col("prefix"), i - 1).alias("before")))
+    tokens = groups.select("gid", "n", F.posexplode(linked).alias("pos", "at")).select("gid", "n", "pos", "at.*")
     lists = Window.partitionBy("token").orderBy("n", "gid")
     hits = tokens.select(
-        "token", "gid", "n", "pos", F.lag(F.struct("gid", "n")).over(lists).alias("prev"), F.lead("gid").over(lists).alias("next")
+        "token", "before", "gid", "n", "pos", F.lag(F.struct("gid", "n")).over(lists).alias("prev"), F.lead("gid").over(lists).alias("next")
     ).where("prev IS NOT NULL OR next IS NOT NULL")
     hits = written(hits, "jaccard-hits")
     discard(wide)
@@ -185,7 +187,7 @@ def classes(rows: DataFrame) -> DataFrame:
     # Pairs of groups, and of members of one group, whose classes differ.
     known = members.join(first.select(F.col("node").alias("set_key"), "component"), "set_key", "left")
     known = written(known.select("gid", "set_key", F.coalesce("component", "set_key").alias("class")), "jaccard-known")
-    listed = hits.select("token", "gid", "n", "pos").join(known.select("gid", "class").distinct(), "gid")
+    listed = hits.select("token", "before", "gid", "n", "pos").join(known.select("gid", "class").distinct(), "gid")
     mixed = listed.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("token")
     listed = written(listed.join(mixed, "token"), "jaccard-listed")
     here = listed.groupBy("token", "class").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("pos").alias("pos"))
@@ -198,7 +200,9 @@ def classes(rows: DataFrame) -> DataFrame:
     other = side(here, "b").withColumnRenamed("token", "token_b")
     kinds = side(here, "a").join(other, (F.col("token") == F.col("token_b")) & (F.col("class_a") < F.col("class_b")) & fits)
     apart = kinds.select("token", "class_a", "class_b").join(side(listed, "a"), ["token", "class_a"]).join(side(listed, "b"), ["token", "class_b"])
-    apart = apart.where(_close(F.col("n_a"), F.col("n_b")) & room("n_a", "pos_a", "n_b") & room("n_b", "pos_b", "n_a"))
+    # Two prefixes that also share the shingle before this one meet there, with more room: each run of shared shingles is met once.
+    first_of_run = F.coalesce(F.col("before_a") != F.col("before_b"), F.lit(True))
+    apart = apart.where(first_of_run & _close(F.col("n_a"), F.col("n_b")) & room("n_a", "pos_a", "n_b") & room("n_b", "pos_b", "n_a"))
     found = apart.select("gid_a", "class_a", "gid_b", "class_b").distinct()
     of = lambda s: known.select(F.col("gid").alias(f"gid_{s}"), F.col("set_key").alias(s), F.col("class").alias(f"class_{s}"))
     apart = found.join(of("a"), ["gid_a", "class_a"]).join(of("b"), ["gid_b", "class_b"]).select("a", "b")
