@@ -63,12 +63,15 @@ def parse_instant(text: str) -> str:
     """An RFC 3339 text as a UTC TIMESTAMP_NTZ; NULL when it is not one.
 
     The pattern is checked first because a plain cast also takes ``12:30:00``
-    and would put today's date on it.  The text is brought to one that carries
-    an offset, so the result does not hang on the session time zone.
+    and would put today's date on it.  The time as written is read without a zone and
+    its offset, of 18 hours at most, taken off it, so no session time zone has a part in it.
     """
-    zoned = f"CASE WHEN endswith({text}, 'Z') OR substring({text}, -6, 1) IN ('+', '-') THEN {text} ELSE concat({text}, 'Z') END"
-    instant = f"try_cast(CASE WHEN {text} RLIKE r'{RFC3339_PATTERN}' THEN {zoned} END AS TIMESTAMP)"
-    return f"convert_timezone(current_timezone(), 'UTC', CAST({instant} AS TIMESTAMP_NTZ))"
+    offset = f"substring({text}, -6, 1) IN ('+', '-')"
+    written = f"CASE WHEN endswith({text}, 'Z') THEN left({text}, length({text}) - 1) WHEN {offset} THEN left({text}, length({text}) - 6) ELSE {text} END"
+    hours, minutes = f"CAST(substring({text}, -5, 2) AS INT)", f"CAST(right({text}, 2) AS INT)"
+    ahead = f"if(substring({text}, -6, 1) = '-', -1, 1) * ({hours} * 60 + {minutes})"
+    shift = f"CASE WHEN NOT {offset} THEN 0 WHEN {minutes} < 60 AND {hours} * 60 + {minutes} <= 1080 THEN {ahead} END"
+    return f"CASE WHEN {text} RLIKE r'{RFC3339_PATTERN}' THEN timestampadd(MINUTE, -({shift}), try_cast({written} AS TIMESTAMP_NTZ)) END"
 
 
 def instant_literal(moment: dt.datetime | None) -> str:

@@ -67,3 +67,19 @@ def test_maps_come_out_sorted_and_never_null(spark):
 
 def test_lists_are_never_null(spark):
     assert one(spark, "array<string>", [["x", "y"], [], None], text.json_list("v")) == ['["x","y"]', "[]", "[]"]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_instants_do_not_hang_on_the_session_time_zone(spark, zone):
+    told = {
+        "2024-11-03T06:30:00Z": "2024-11-03 06:30:00", "2024-11-03T01:30:00-04:00": "2024-11-03 05:30:00", "2024-03-10T02:30:00": "2024-03-10 02:30:00",
+        "2024-03-31T01:30:00.123456789+05:30": "2024-03-30 20:00:00.123456", "2024-01-01T00:00:00+18:00": "2023-12-31 06:00:00",
+        "2024-01-01T00:00:00+18:01": None, "2024-01-01T00:00:00+01:60": None, "2024-02-30T00:00:00Z": None, "12:30:00": None, "": None,
+    }
+    held = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(t,) for t in told], "t string").selectExpr("t", f"CAST({text.parse_instant('t')} AS STRING) AS at")
+        assert {r.t: r["at"] for r in df.collect()} == told
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", held)
