@@ -32,6 +32,7 @@ from recordlake.operators.verify import (
     PolicyMismatch,
     contract_drift,
     held_policy,
+    lake_differences,
     observed_fields,
     policy_diff,
     policy_rows,

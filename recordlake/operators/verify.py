@@ -76,12 +76,16 @@ LIMITS = ("max_bytes", "max_msgs")
 
 PROPERTY = "recordlake."
 
-#: Drifting fields an error message spells out.
+#: Differences an error message spells out; the error holds them all.
 TOLD = 50
 
 
 class PolicyMismatch(Exception):
-    """Tables exist with policies other than those asked for."""
+    """Tables exist with policies other than those asked for.  ``differences``, where given, has all of them as a DataFrame."""
+
+    def __init__(self, message: str, differences: DataFrame | None = None):
+        super().__init__(message)
+        self.differences = differences
 
 
 # The kind of a JSON value held as the variant ``member.value``.
@@ -268,21 +272,28 @@ def refuse(differences: DataFrame) -> None:
         raise PolicyMismatch("policies differ; nothing was changed:\n  " + "\n  ".join(lines))
 
 
+def lake_differences(observed: DataFrame, want: DataFrame, got: DataFrame, ignored: Mapping[str, str] | None = None) -> DataFrame:
+    """``side`` (contract or the table), ``field`` and ``told`` of everything that differs, contract and policies together.
+
+    A column no event happens to carry is no difference here; a field that has no
+    column, or another kind of value, is.  Publishers can make up any number of fields, and all are told.
+    """
+    drift = contract_drift(observed, ignored).filter(F.col("problem") != "not carried")
+    told = F.concat("field", F.lit(": "), "problem", F.lit(" ("), "seen", F.lit(", "), "events", F.lit(" events)"))
+    drifting = drift.select(F.lit("contract").alias("side"), "field", told.alias("told"))
+    return drifting.unionByName(policy_diff(want, got).select(F.col("table").alias("side"), "field", "told"))
+
+
 def verify_lake(observed: DataFrame, want: DataFrame, got: DataFrame, ignored: Mapping[str, str] | None = None) -> None:
     """Contract and policies together: raises once, with everything that differs.
 
-    A column no event happens to carry is not an error here; a field that has no
-    column, or another kind of value, is.  Publishers can make up any number of
-    fields, so the message names the first of them and counts the rest.
+    The error carries all of ``lake_differences``; its message spells out the first ``TOLD``, contract
+    first, as the fields that publishers make up are too many for a driver to hold.
     """
-    drift = contract_drift(observed, ignored).filter(F.col("problem") != "not carried")
-    told = F.concat(
-        F.lit("contract: "), "field", F.lit(": "), "problem", F.lit(" ("), "seen", F.lit(", "), "events", F.lit(" events)")
-    )
-    found = drift.orderBy("field", "seen").select(told.alias("told")).take(TOLD + 1)
-    lines = [d.told for d in found[:TOLD]]
-    if len(found) > TOLD:
-        lines.append(f"contract: {drift.count() - TOLD} more; see contract_drift")
-    lines += [f"{d.table}: {d.told}" for d in policy_diff(want, got).orderBy("table", "field").collect()]
+    differences = lake_differences(observed, want, got, ignored)
+    first = differences.orderBy(F.col("side") != "contract", "side", "field", "told").take(TOLD + 1)
+    lines = [f"{d.side}: {d.told}" for d in first[:TOLD]]
+    if len(first) > TOLD:
+        lines.append(f"and {differences.count() - TOLD} more; see contract_drift, or the differences of this error")
     if lines:
-        raise PolicyMismatch("the lake and its contract differ; nothing was changed:\n  " + "\n  ".join(lines))
+        raise PolicyMismatch("the lake and its contract differ; nothing was changed:\n  " + "\n  ".join(lines), differences)

@@ -100,3 +100,14 @@ def test_no_event_is_needed(messages):
     observed = rl.observed_fields(messages(b"{}", b"junk"), rl.BATCH)
     assert rl.contract_drift(observed).filter("problem <> 'not carried'").count() == 0
     assert rl.contract_drift(observed).count() == 40
+
+
+def test_every_difference_is_told_however_many_there_are(spark, messages):
+    raw = messages(batch(event("a", **{f"made_up_{i:02}": "x" for i in range(60)})))
+    want = rl.policy_rows(spark, {"ledger": {"max_age": "604800"}})
+    got = rl.policy_rows(spark, {"ledger": {"max_age": "5"}})
+    with pytest.raises(rl.PolicyMismatch, match="and 11 more") as told:
+        rl.verify_lake(rl.observed_fields(raw, rl.BATCH), want, got)
+    rows = told.value.differences.collect()
+    assert {r.field for r in rows if r.side == "contract"} == {f"made_up_{i:02}" for i in range(60)}
+    assert [(r.side, r.field) for r in rows if r.side != "contract"] == [("ledger", "max_age")]
