@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from recordlake.plans.queries import AGE, BUDGET, FLUSH_ROWS, LAST, NOW
+from recordlake.plans.queries import AGE, BUDGET, BUDGETS, FLUSH_ROWS, LAST, NOW
 from recordlake.schema import COLUMNS
 
 # Each event with its message number, place and faults, and each message's kind.
@@ -287,5 +287,16 @@ UNION ALL SELECT stream, subject, 0, published_at, payload, NULL FROM sent, rang
 UNION ALL SELECT stream, subject, NULL, published_at, payload, '' FROM sent WHERE seq % 10 = 5
 UNION ALL SELECT stream, subject, seq, published_at, payload, NULL FROM sent WHERE seq % 10 = 6"""
 
+_BOTH = """, both_streams AS (
+  SELECT stream, seq, CAST(strlen(payload) AS BIGINT) AS bytes FROM raw
+  UNION ALL SELECT 'AUDIT', event_id + 1, CAST(strlen(text) AS BIGINT) FROM t)"""
+_LIMIT = f"CASE stream WHEN 'LEDGER' THEN {BUDGETS['LEDGER']} ELSE {BUDGETS['AUDIT']} END"
+_BODIES["retain_streams"] = f"""{_BOTH}
+SELECT stream, seq, bytes FROM both_streams
+QUALIFY sum(bytes) OVER (PARTITION BY stream ORDER BY seq DESC) <= {_LIMIT}"""
+_BODIES["admit_streams"] = f"""{_BOTH}
+SELECT stream, seq, sum(bytes) OVER (PARTITION BY stream ORDER BY seq)
+  <= CASE stream WHEN 'LEDGER' THEN {BUDGETS['LEDGER']} ELSE {BUDGETS['AUDIT'] - BUDGET // 4} END AS accepted FROM both_streams"""
+
 ORACLES: dict[str, str] = {name: PRELUDE + body for name, body in _BODIES.items()}
 ORACLES["drain_row_bounded"] = ORACLES["drain_row_bounded"].replace("WITH f AS", "WITH RECURSIVE f AS", 1)

@@ -478,6 +478,31 @@ def admit_oldest(spark, sf_dir):
     return sides[0].unionAll(sides[1])
 
 
+#: Byte budgets of two streams in one table: each is outgrown at sf0.01 and above.
+BUDGETS = {fx.STREAM: BUDGET, fx.AUDIT_STREAM: BUDGET // 2}
+
+
+def both_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One landing table of the ledger and the audit messages, landed with their sizes."""
+
+    def make(path: str) -> None:
+        for part in (messages(spark, sf_dir), audit_messages(spark, sf_dir)):
+            rl.with_sizes(part).write.mode("append").parquet(path)
+
+    return rl.raw_table(spark, _derived(spark, sf_dir, "both-streams", make), sizes=True)
+
+
+def retain_streams(spark, sf_dir):
+    kept = rl.retain_newest(both_streams(spark, sf_dir), max_bytes=BUDGETS)
+    return kept.select("stream", "seq", F.col("payload_bytes").alias("bytes"))
+
+
+def admit_streams(spark, sf_dir):
+    accepted, refused = rl.admit(both_streams(spark, sf_dir), BUDGETS, held_bytes={fx.AUDIT_STREAM: BUDGET // 4})
+    sides = [side.select("stream", "seq", F.lit(name).alias("accepted")) for side, name in ((accepted, True), (refused, False))]
+    return sides[0].unionAll(sides[1])
+
+
 def duplicate_window(spark, sf_dir):
     return _readable(rl.drop_duplicates(twice(spark, sf_dir)))
 
@@ -564,6 +589,8 @@ QUERIES: dict[str, Query] = {
         retain_newest,
         retain_by_age,
         admit_oldest,
+        retain_streams,
+        admit_streams,
         duplicate_window,
         duplicate_window_stream,
         contract_drift,

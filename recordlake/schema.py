@@ -122,6 +122,9 @@ RAW_SCHEMA = T.StructType(
 #: Messages with the id their publisher gave them; NULL or empty where there was none.
 RAW_ID_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField("message_id", STRING)])
 
+#: The size of a message, stored beside it where it was landed ``with_sizes``.
+SIZE_FIELD = T.StructField("payload_bytes", LONG)
+
 REJECT_SCHEMA = T.StructType(
     [
         T.StructField("stream", STRING),

@@ -4,16 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from recordlake.schema import RAW_ID_SCHEMA, RAW_SCHEMA
+from recordlake.schema import RAW_ID_SCHEMA, RAW_SCHEMA, SIZE_FIELD
 
 #: Files per micro-batch unless told otherwise.
 DEFAULT_MAX_FILES = 512
 
 
-def raw_table(spark: SparkSession, path: str, message_ids: bool = False) -> DataFrame:
-    """Messages at rest: a snapshot, read without consuming anything; with the ids of their publishers if asked for."""
-    return spark.read.schema(RAW_ID_SCHEMA if message_ids else RAW_SCHEMA).option("pathGlobFilter", "*.parquet").parquet(path)
+def raw_table(spark: SparkSession, path: str, message_ids: bool = False, sizes: bool = False) -> DataFrame:
+    """Messages at rest: a snapshot, read without consuming anything.
+
+    The ids of their publishers and their stored sizes come along if asked for.
+    """
+    schema = RAW_ID_SCHEMA if message_ids else RAW_SCHEMA
+    if sizes:
+        schema = T.StructType([*schema.fields, SIZE_FIELD])
+    return spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path)
+
+
+def with_sizes(raw: DataFrame) -> DataFrame:
+    """Adds ``payload_bytes``, to be landed with the messages so that budgets need not read them."""
+    return raw.withColumn(SIZE_FIELD.name, F.coalesce(F.length("payload"), F.lit(0)).cast("long"))
 
 
 def raw_stream(

@@ -67,3 +67,49 @@ def test_age_goes_before_size(spark, messages):
     kept = rl.retain_newest(raw, max_bytes=6, max_age=dt.timedelta(days=7), now=NOW)
     assert sorted(r.seq for r in kept.collect()) == [2, 3]
     assert rl.retain_newest(raw, max_age=dt.timedelta(days=9), now=NOW).count() == 3
+
+
+def test_every_stream_has_a_budget_of_its_own(messages, monkeypatch):
+    monkeypatch.setattr(retention, "FANOUT", 4)
+    rng = random.Random(7)
+    sizes = {"A": {s: rng.choice([0, 2, 9]) for s in range(1, 40)}, "B": {s: 100 for s in range(1000, 1030)}, None: {3: 5, 4: 5}}
+    raw = None
+    for stream, held in sizes.items():
+        part = messages(*[(s, b"x" * n) for s, n in held.items()], stream=stream)
+        raw = part if raw is None else raw.unionAll(part)
+    for sized in (raw, rl.with_sizes(raw)):
+        kept = {(r.stream, r.seq) for r in rl.retain_newest(sized, max_bytes=50).collect()}
+        assert kept == {(stream, s) for stream, held in sizes.items() for s in suffix(held, 50)}
+        kept = {(r.stream, r.seq) for r in rl.retain_newest(sized, max_bytes={"B": 250, "A": 0}).collect()}
+        assert kept == {(stream, s) for stream, held in sizes.items() for s in (suffix(held, 250) if stream == "B" else held)}
+        accepted, refused = rl.admit(sized, {"A": 30, "B": 300}, held_bytes={"B": 200, "A": 31})
+        assert {(r.stream, r.seq) for r in accepted.collect()} == {("B", 1000), (None, 3), (None, 4)}
+        assert accepted.columns == sized.columns and accepted.count() + refused.count() == raw.count()
+
+
+def test_a_budget_reads_sizes_and_no_payloads(spark, messages, tmp_path):
+    raw = messages((1, b"aaa"), (2, b"bb"), (3, b"c"))
+    rl.with_sizes(raw).write.parquet(f"{tmp_path}/raw")
+    landed = rl.raw_table(spark, f"{tmp_path}/raw", sizes=True)
+    kept = rl.retain_newest(landed, max_bytes=3).select("stream", "seq")
+    assert sorted(r.seq for r in kept.collect()) == [2, 3]
+    assert "payload:binary" not in kept._jdf.queryExecution().toString()
+
+
+def test_unknown_sequences_are_the_oldest(messages):
+    raw = messages((None, b"aaa"), (0, b"bb"), (1, b"c"))
+    assert [r.seq for r in rl.retain_newest(raw, max_bytes=4).collect()] == [1]
+    assert rl.retain_newest(raw, max_bytes=6).count() == 3
+
+
+def test_a_size_that_was_not_stored_is_an_error(messages):
+    lacking = messages((1, b"aaa")).selectExpr("*", "CAST(NULL AS BIGINT) AS payload_bytes")
+    with pytest.raises(Exception, match="was not landed with its size"):
+        rl.retain_newest(lacking, max_bytes=1).collect()
+
+
+def test_too_many_streams_are_refused(messages, monkeypatch):
+    monkeypatch.setattr(retention, "STREAMS", 1)
+    raw = messages(b"aa", stream="A").unionAll(messages(b"bb", stream="B"))
+    with pytest.raises(Exception, match="more than 1 streams"):
+        rl.retain_newest(raw, max_bytes=1).collect()
