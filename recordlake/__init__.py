@@ -45,7 +45,7 @@ from recordlake.session import configure, local_session, scratch_path, shared_di
 from recordlake.sinks.deadletter import dead_once, dead_subject_for, distinct_dead, read_dead, to_dead, write_dead
 from recordlake.sinks.lake import lake_path, write_lake
 from recordlake.sinks.manifest import part_to_messages, read_manifest
-from recordlake.sources.lake import SchemaMismatch, lake_parts, read_lake
+from recordlake.sources.lake import SchemaMismatch, lake_parts, parts_lacking, read_lake
 from recordlake.sources.raw import drop_duplicates, filter_subject, raw_stream, raw_table, subject_parts, with_sizes
 from recordlake.streaming.drain import drain, flush, read_flushes
 from recordlake.streaming.published import first_of_each, fold_published, publish_once

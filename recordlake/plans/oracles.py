@@ -287,6 +287,8 @@ UNION ALL SELECT stream, subject, 0, published_at, payload, NULL FROM sent, rang
 UNION ALL SELECT stream, subject, NULL, published_at, payload, '' FROM sent WHERE seq % 10 = 5
 UNION ALL SELECT stream, subject, seq, published_at, payload, NULL FROM sent WHERE seq % 10 = 6"""
 
+_BODIES["lake_parts_lacking"] = f"""SELECT DISTINCT CAST(ts AS DATE) AS date, {_LAKE} AS app, 'execution_subject' AS "column"
+FROM t WHERE ts < TIMESTAMP '2024-01-16'"""
 _BOTH = """, both_streams AS (
   SELECT stream, seq, CAST(strlen(payload) AS BIGINT) AS bytes FROM raw
   UNION ALL SELECT 'AUDIT', event_id + 1, CAST(strlen(text) AS BIGINT) FROM t)"""

@@ -275,6 +275,15 @@ def lake_strict(spark, sf_dir):
     return narrow.groupBy("tenant").agg(F.count("*").alias("rows"), F.round(F.sum("cost_usd"), 2).alias("cost_usd"))
 
 
+def lake_parts_lacking(spark, sf_dir):
+    """The partitions whose parts lack a column, by their footers: those of the older vintage."""
+    root = _derived(spark, sf_dir, "lake", lambda p: fx.write_vintages(spark, sf_dir, p))
+    lacking = rl.parts_lacking(spark, root, "ledger").select("part", F.explode("columns").alias("column"))
+    folder = lambda key: F.regexp_extract("part", f"/{key}=([^/]*)/", 1)
+    app = F.when(folder("app") == "__HIVE_DEFAULT_PARTITION__", "").otherwise(folder("app"))
+    return lacking.select(folder("date").cast("date").alias("date"), app.alias("app"), "column").distinct()
+
+
 def lake_parts(spark, sf_dir):
     root = _derived(spark, sf_dir, "lake", lambda p: fx.write_vintages(spark, sf_dir, p))
     parts = rl.lake_parts(spark, root, "ledger")
@@ -561,6 +570,7 @@ QUERIES: dict[str, Query] = {
         lake_projection,
         lake_strict,
         lake_parts,
+        lake_parts_lacking,
         lake_dedupe,
         lake_dedupe_usage,
         lake_views,

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-from operator import or_
+import re
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,25 +52,52 @@ def read_lake(
         raise ValueError(f"no column {', '.join(unknown)}; columns are {', '.join(LAKE_SCHEMA.fieldNames())}")
     scan = _scan(spark, root, prefix)
     if strict:
-        _refuse_missing(scan, names)
+        _refuse_missing(spark, root, prefix, names)
     return scan.select(*[_app() if n == "app" else F.col(n) for n in names])
 
 
-def _refuse_missing(scan: DataFrame, names: Sequence[str]) -> None:
-    """Raise when a part lacks one of the columns.
+def _opened(path: str) -> pa.NativeFile:
+    """A file of any store that pyarrow knows, by the path as Spark lists it: nothing in it is an escape."""
+    scheme, store, inside = re.fullmatch(r"(?:(\w[\w+.-]*):(?://([^/]*))?)?(.*)", path, re.DOTALL).groups()
+    if scheme in (None, "file"):
+        return fs.LocalFileSystem().open_input_file(inside)
+    held, root = fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{store or ''}/")
+    return held.open_input_file(f"{root.rstrip('/')}{inside}")
 
-    The writer never writes NULL, so a NULL is a missing column.  The test is
-    pushed to the row-group statistics: parts that have every column are
-    skipped on their footers alone.
+
+def _lacking(names: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for part in batch.column("path").to_pylist():
+                with _opened(part) as file:
+                    held = set(pq.read_schema(file).names)
+                missing = [n for n in names if n not in held]
+                if missing:
+                    found.append({"part": part, "columns": missing})
+            yield pa.RecordBatch.from_pylist(found, pa.schema([("part", pa.string()), ("columns", pa.list_(pa.string()))]))
+
+    return read
+
+
+def parts_lacking(spark: SparkSession, root: str, prefix: str = "", columns: Sequence[str] | None = None) -> DataFrame:
+    """``part`` and ``columns``: every part file whose footer lacks some of the columns, and which.
+
+    Tasks list the files and read their footers, never their rows: a part that holds NULLs lacks
+    nothing, and one without a single row is looked at too.
     """
-    carried = [n for n in names if n not in PARTITION_COLUMNS]
-    if not carried:
+    wanted = LAKE_SCHEMA.fieldNames() if columns is None else columns
+    carried = [n for n in wanted if n not in PARTITION_COLUMNS]
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    paths = listed.load(lake_path(root, prefix)).select("path")
+    return paths.mapInArrow(_lacking(carried), "part string, columns array<string>")
+
+
+def _refuse_missing(spark: SparkSession, root: str, prefix: str, names: Sequence[str]) -> None:
+    """Raise when a part lacks one of the columns."""
+    if all(n in PARTITION_COLUMNS for n in names):
         return
-    lacking = F.array_compact(F.array(*[F.when(F.col(n).isNull(), n) for n in carried]))
-    found = scan.filter(reduce(or_, [F.col(n).isNull() for n in carried])).agg(
-        F.min(F.struct(F.col("_metadata.file_path").alias("part"), lacking.alias("columns"))).alias("first")
-    )
-    first = found.first()["first"]
+    first = parts_lacking(spark, root, prefix, names).agg(F.min(F.struct("part", "columns")).alias("first")).first()["first"]
     if first is not None:
         missing = ", ".join(first["columns"])
         raise SchemaMismatch(

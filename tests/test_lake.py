@@ -144,6 +144,23 @@ def test_a_strict_read_refuses_only_what_it_needs(spark, write):
         rl.read_lake(spark, root, "ledger", columns=["nope"])
 
 
+def test_a_strict_read_goes_by_footers_and_not_by_values(spark, write, tmp_path):
+    root = write(sentinel(1))
+    holding = spark.createDataFrame([sentinel(2, app="a:b %41=c", execution_subject=None)], ROW_SCHEMA)
+    rl.sinks.lake.with_date(holding).write.mode("append").partitionBy("date", "app").parquet(f"{root}/ledger")
+    names = ["event_id", "app", "execution_subject"]
+    assert rl.read_lake(spark, root, "ledger", columns=names, strict=True).filter("execution_subject IS NULL").count() == 1
+    assert rl.parts_lacking(spark, root, "ledger").count() == 0
+    older_part(spark, root, 3)
+    empty = rl.sinks.lake.with_date(holding).drop("execution_subject", "tool", "date", "app").limit(0)
+    empty.coalesce(1).write.parquet(f"{root}/ledger/date=2024-01-01/app=x")
+    lacking = {tuple(r.columns) for r in rl.parts_lacking(spark, root, "ledger").collect()}
+    assert lacking == {("execution_subject",), ("tool", "execution_subject")}
+    assert rl.parts_lacking(spark, root, "ledger", ["event_id", "app"]).count() == 0
+    with pytest.raises(rl.SchemaMismatch, match="tool could not be found in file"):
+        rl.read_lake(spark, root, "ledger", columns=["tool"], strict=True)
+
+
 def test_copies_are_folded_before_the_shuffle(spark, write):
     root = write(*tree(), *tree())
     write(sentinel(9, event_id="a", time=DAY - dt.timedelta(hours=1)))
