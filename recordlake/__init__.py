@@ -47,6 +47,7 @@ from recordlake.sinks.lake import lake_path, write_lake
 from recordlake.sinks.manifest import part_to_messages, read_manifest
 from recordlake.sources.lake import SchemaMismatch, lake_parts, parts_lacking, read_lake
 from recordlake.sources.raw import drop_duplicates, filter_subject, raw_stream, raw_table, subject_parts, with_sizes
+from recordlake.sources.zones import read_zones, record_zones
 from recordlake.streaming.drain import drain, flush, read_flushes
 from recordlake.streaming.published import first_of_each, fold_published, publish_once
 from recordlake.streaming.tail import Tail, follow, last_messages, since_age, tail, tail_rows, tail_stream

@@ -15,6 +15,8 @@ It takes texts that are known to be JSON.  Nothing bounds the depth or the numbe
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+
 #: Elements that are cut out of the same stretch of the text: a cut walks from the start of its text.
 _STRETCH = 64
 
@@ -40,9 +42,10 @@ def running(parts: str) -> str:
     return f"aggregate(sequence(0, CAST(ceil(log2(size({parts}))) AS INT)), {step}, {doubled})"
 
 
-def bounds(sums: str, parts: str, depth: int) -> str:
+def bounds(sums: str, parts: str, depth: int, brackets: str = "[]") -> str:
     """The places of the list's opening bracket, its commas and its closing bracket; the list is the one at ``depth``."""
-    held = f"""(x.mark = '[' AND x.depth = {depth}) OR (x.mark = ',' AND x.depth = {depth}) OR (x.mark = ']' AND x.depth = {depth - 1})"""
+    begin, end = brackets
+    held = f"""(x.mark = '{begin}' AND x.depth = {depth}) OR (x.mark = ',' AND x.depth = {depth}) OR (x.mark = '{end}' AND x.depth = {depth - 1})"""
     placed = f"transform({sums}, (x, i) -> named_struct('mark', x.mark, 'depth', x.depth, 'at', x.to - length({parts}[i])))"
     return f"transform(filter({placed}, x -> {held}), x -> x.at)"
 
@@ -58,3 +61,34 @@ def cut(text: str, places: str) -> str:
     # The stretches are bound to a name, so that they are cut once and not for every element.
     each = f"transform(array({stretches}), s -> transform(sequence(0, size({places}) - 2), k -> {trimmed}))[0]"
     return f"CASE WHEN size({places}) >= 2 THEN filter({each}, (e, i) -> e <> '' OR size({places}) > 2) END"
+
+
+def with_members(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Adds ``name``, the members of the object that column ``text`` holds, as (key, value) texts; NULL where it holds none.
+
+    Keys come as often as they were sent, where a parse would fold or refuse them.  A member is cut at its first
+    colon outside strings.  Nothing here looks below the members.
+    """
+    blank, parts, sums, places, shapes, said = (f"_{name}_{step}" for step in ("blank", "pieces", "sums", "places", "shapes", "said"))
+    staged = df.selectExpr("*", f"CASE WHEN startswith({text}, '{{') THEN {blanked(text)} END AS {blank}")
+    for step, value in (
+        (parts, pieces(blank)),
+        (sums, running(parts)),
+        (places, bounds(sums, parts, 1, "{}")),
+        (shapes, cut(blank, places)),
+        (said, cut(text, places)),
+    ):
+        staged = staged.selectExpr("*", f"{value} AS {step}")
+    colon = f"locate(':', m.{shapes})"
+    key = f"from_json(concat('[', left(m.{said}, {colon} - 1), ']'), 'array<string>')[0]"
+    value = f"trim(LEADING ' \\t\\n\\r' FROM substring(m.{said}, {colon} + 1))"
+    found = f"transform(arrays_zip({said}, {shapes}), m -> named_struct('key', {key}, 'value', {value})) AS {name}"
+    return staged.selectExpr(*df.columns, found)
+
+
+def kind_of(value: str) -> str:
+    """The kind of a JSON value, from its text."""
+    return f"""CASE left({value}, 1)
+      WHEN '"' THEN 'text' WHEN '{{' THEN 'object' WHEN '[' THEN 'list' WHEN 't' THEN 'boolean' WHEN 'f' THEN 'boolean' WHEN 'n' THEN 'null'
+      ELSE if({value} RLIKE '^-?[0-9]+$' AND try_cast({value} AS BIGINT) IS NOT NULL, 'integer', 'number')
+    END"""

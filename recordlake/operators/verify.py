@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recordlake.functions.elements import kind_of, with_members
 from recordlake.operators.decode import event_texts
 from recordlake.schema import COLUMNS, DEAD_SCHEMA, RAW_SCHEMA
 from recordlake.sinks.deadletter import DEAD_SUBJECT
@@ -88,8 +89,9 @@ class PolicyMismatch(Exception):
         self.differences = differences
 
 
-# The kind of a JSON value held as the variant ``member.value``.
+# The kind of a JSON value, told as the type of a variant, or already as a kind.
 _KIND = """CASE
+  WHEN told IN ('text', 'integer', 'number', 'boolean', 'list', 'object', 'null') THEN told
   WHEN told = 'STRING' THEN 'text'
   WHEN told = 'BIGINT' THEN 'integer'
   WHEN told = 'DOUBLE' OR startswith(told, 'DECIMAL') THEN 'number'
@@ -100,24 +102,53 @@ _KIND = """CASE
 END"""
 
 
+#: Fields whose members are fields themselves, spread over columns.
+CONTAINERS = tuple(dict.fromkeys(c.source.partition(".")[0] for c in COLUMNS if "." in c.source))
+
+
+def _distinct(members: str, parent: str) -> str:
+    """Members as (field, told, text), one of each field and kind; only a container keeps its text."""
+    field = f"concat({parent}, '.', m.key)" if parent else "m.key"
+    told = kind_of("m.value")
+    kept = "CAST(NULL AS STRING)" if parent else f"CASE WHEN m.key IN ({_listed(CONTAINERS)}) AND startswith(m.value, '{{') THEN m.value END"
+    return f"array_distinct(transform({members}, m -> named_struct('field', {field}, 'told', {told}, 'text', {kept})))"
+
+
+def _listed(names: Iterable[str]) -> str:
+    return ", ".join(f"'{n}'" for n in names)
+
+
 def observed_fields(raw: DataFrame, envelope: str) -> DataFrame:
     """The fields events really carry: ``field``, ``kind`` of value, and in how many events.
 
-    Read from every readable event.  Fields of ``usage`` are listed one by one.
-    Counts are folded per task before the shuffle, over a few dozen names.
+    Read from every readable event.  Fields of ``usage`` are listed one by one, and ``usage`` itself with its kind.
+    An event that holds a key twice does not parse; its fields are read off its text, each
+    once for every kind its values have (those of a second ``usage`` count again).  Counts are folded per task before the
+    shuffle, over a few dozen names.
     """
-    parsed = event_texts(raw, envelope).selectExpr("CASE WHEN _fault IS NULL THEN try_parse_json(_text) END AS event")
-    members = "map_entries(try_variant_get(event, '$', 'map<string,variant>'))"
-    usage = "map_entries(try_variant_get(event, '$.usage', 'map<string,variant>'))"
-    nested = f"transform({usage}, m -> named_struct('key', concat('usage.', m.key), 'value', m.value))"
-    spread = parsed.selectExpr(f"inline(concat({members}, coalesce({nested}, slice({members}, 1, 0)))) AS (field, value)")
-    named = spread.selectExpr("field", "schema_of_variant(value) AS told").selectExpr("field", f"{_KIND} AS kind")
-    return named.groupBy("field", "kind").agg(F.count("*").alias("events"))
+    texts = event_texts(raw, envelope).selectExpr("CASE WHEN _fault IS NULL THEN _text END AS text")
+    parsed = texts.selectExpr("text", "try_parse_json(text) AS event")
+    spread = ["coalesce(map_entries(try_variant_get(event, '$', 'map<string,variant>')), array())"]
+    for container in CONTAINERS:
+        held = f"map_entries(try_variant_get(event, '$.{container}', 'map<string,variant>'))"
+        nested = f"transform({held}, m -> named_struct('key', concat('{container}.', m.key), 'value', m.value))"
+        spread.append(f"coalesce({nested}, array())")
+    named = f"transform(concat({', '.join(spread)}), m -> named_struct('field', m.key, 'told', schema_of_variant(m.value)))"
+    # The texts of events that did not parse, level by level: two are all there can be, as below them no column is fed,
+    # and what is below a field that is no container belongs to that field.
+    unparsed = "CASE WHEN event IS NULL THEN trim(BOTH ' \\t\\n\\r' FROM text) END AS text"
+    outer = with_members(parsed.selectExpr(f"{named} AS named", unparsed), "text", "members")
+    plain = "transform(named, f -> named_struct('field', f.field, 'told', f.told, 'text', CAST(NULL AS STRING)))"
+    fields = outer.selectExpr(f"inline(concat({plain}, coalesce({_distinct('members', '')}, array()))) AS (field, told, text)")
+    inner = with_members(fields, "text", "members")
+    below = f"coalesce({_distinct('members', 'field')}, array())"
+    every = inner.selectExpr(f"inline(concat(array(named_struct('field', field, 'told', told, 'text', text)), {below})) AS (field, told, text)")
+    return every.selectExpr("field", f"{_KIND} AS kind").groupBy("field", "kind").agg(F.count("*").alias("events"))
 
 
 def contract_fields(spark: SparkSession) -> DataFrame:
-    """The fields the lake columns are read from, with the kind of value each expects."""
-    listed = [(c.source, c.name, _wire_kind(c.wire)) for c in COLUMNS]
+    """The fields the lake columns are read from, with the kind of value each expects; containers feed no column of their own."""
+    listed = [(c.source, c.name, _wire_kind(c.wire)) for c in COLUMNS] + [(c, None, "object") for c in CONTAINERS]
     return spark.createDataFrame(listed, "field string, column string, want string")
 
 
@@ -138,18 +169,20 @@ def contract_drift(observed: DataFrame, ignored: Mapping[str, str] | None = None
 
     A field left out on purpose goes into ``ignored`` with the reason, which is
     required: without one it could not be told from a field nobody noticed.
-    ``usage`` itself is spread over columns and counts as taken.
+    ``usage`` itself is spread over columns: it is no column, and need not be carried, but it has to be an object.
     """
     ignored = dict(ignored or {})
     unexplained = sorted(f for f, why in ignored.items() if not why.strip())
     if unexplained:
         raise ValueError(f"ignored without a reason: {', '.join(unexplained)}")
     contract = contract_fields(observed.sparkSession)
-    seen = observed.filter(~F.col("field").isin("usage", *ignored) & (F.col("kind") != "null"))
+    seen = observed.filter(~F.col("field").isin(*ignored) & (F.col("kind") != "null"))
     both = contract.join(seen, "field", "full_outer")
     fits = (F.col("want") == F.col("kind")) | ((F.col("want") == "number") & (F.col("kind") == "integer"))
     problem = (
-        F.when(F.col("column").isNull(), "not a column").when(F.col("kind").isNull(), "not carried").when(~fits, "other kind")
+        F.when(F.col("want").isNull(), "not a column")
+        .when(F.col("kind").isNull(), F.when(F.col("column").isNotNull(), "not carried"))
+        .when(~fits, "other kind")
     )
     return both.select(
         "field",

@@ -289,6 +289,14 @@ UNION ALL SELECT stream, subject, seq, published_at, payload, NULL FROM sent WHE
 
 _BODIES["lake_parts_lacking"] = f"""SELECT DISTINCT CAST(ts AS DATE) AS date, {_LAKE} AS app, 'execution_subject' AS "column"
 FROM t WHERE ts < TIMESTAMP '2024-01-16'"""
+_BODIES["tail_last_n_by_zones"] = _BODIES["tail_last_n"]
+_BODIES["observed_doubled"] = """, held AS (
+  SELECT unnest(CASE event_id % 4
+    WHEN 0 THEN ['event_id text', 'tenant text', 'usage object', 'usage.input_tokens integer']
+    WHEN 1 THEN ['event_id text', 'surprise list', 'usage object', 'usage.input_tokens integer']
+    WHEN 2 THEN ['event_id text', 'usage object', 'usage.input_tokens integer', 'usage.input_tokens text', 'usage.more number']
+    ELSE ['event_id text', 'event_id integer', 'usage text', 'meta object'] END) AS told FROM f)
+SELECT split_part(told, ' ', 1) AS field, split_part(told, ' ', 2) AS kind, count(*) AS events FROM held GROUP BY told"""
 _BOTH = """, both_streams AS (
   SELECT stream, seq, CAST(strlen(payload) AS BIGINT) AS bytes FROM raw
   UNION ALL SELECT 'AUDIT', event_id + 1, CAST(strlen(text) AS BIGINT) FROM t)"""

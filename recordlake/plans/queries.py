@@ -333,6 +333,20 @@ def tail_last_n(spark, sf_dir):
     return _tail(spark, sf_dir, since=LAST).select(*_SHOWN)
 
 
+def tail_last_n_by_zones(spark, sf_dir):
+    """The last messages of a stream by its zone map, which was recorded twice while messages landed."""
+
+    def make(root: str) -> None:
+        raw = messages(spark, sf_dir)
+        for side in (F.col("seq") % 3 == 0, F.col("seq") % 3 != 0):
+            raw.filter(side).write.mode("append").parquet(f"{root}/raw")
+            rl.record_zones(spark, f"{root}/raw", f"{root}/zones")
+
+    root = _derived(spark, sf_dir, "zoned", make)
+    raw, zones = rl.raw_table(spark, f"{root}/raw"), rl.read_zones(spark, f"{root}/zones")
+    return rl.tail_rows(raw, rl.BATCH, stream=fx.STREAM, since=LAST, zones=zones).select(*_SHOWN)
+
+
 def tail_last_n_of_subject(spark, sf_dir):
     return _tail(spark, sf_dir, since=LAST, subject=f"{fx.SUBJECT}.tenant-3.>").select(*_SHOWN)
 
@@ -537,6 +551,12 @@ def contract_drift(spark, sf_dir):
     return rl.contract_drift(observed, {"correlation_id": "set by callers that trace, and none of these does"})
 
 
+def observed_doubled(spark, sf_dir):
+    """The fields of events that hold keys twice."""
+    path = _derived(spark, sf_dir, "doubled-raw", lambda p: fx.land(spark, fx.doubled_messages(spark, sf_dir), p))
+    return rl.observed_fields(rl.raw_table(spark, path), rl.EVENT)
+
+
 def policy_diff(spark, sf_dir):
     held = rl.held_policy(messages(spark, sf_dir), "ledger", HELD_POLICY)
     return rl.policy_diff(rl.policy_rows(spark, {"ledger": HELD_POLICY}), held)
@@ -579,6 +599,7 @@ QUERIES: dict[str, Query] = {
         provenance_counts,
         tags_lookup,
         tail_last_n,
+        tail_last_n_by_zones,
         tail_last_n_of_subject,
         tail_since_age,
         tail_from_start,
@@ -604,6 +625,7 @@ QUERIES: dict[str, Query] = {
         duplicate_window,
         duplicate_window_stream,
         contract_drift,
+        observed_doubled,
         policy_diff,
         usage_by_tenant_day,
     )

@@ -179,3 +179,13 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("flush", LONG),
     ]
 )
+
+ZONE_SCHEMA = T.StructType(
+    [
+        T.StructField("file", STRING),
+        T.StructField("stream", STRING),
+        T.StructField("least", LONG),
+        T.StructField("greatest", LONG),
+        T.StructField("messages", LONG),
+    ]
+)

@@ -152,6 +152,23 @@ def odd_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def doubled_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test event as a message of its own; three of four hold a key twice, at the top or below."""
+    text = """CASE event_id % 4
+      WHEN 0 THEN concat('{"event_id":"ev-', event_id, '","tenant":"', user_id, '","usage":{"input_tokens":', event_id, '}}')
+      WHEN 1 THEN concat('{"event_id":"ev-', event_id, '" , "event_id":"ev-', event_id, '","surprise":[', event_id, '],"usage":{"input_tokens":1}}')
+      WHEN 2 THEN concat('{ "event_id":"{,', event_id, '","usage":{"input_tokens" : 1, "input_tokens":"', event_id, '","more":0.5}}')
+      ELSE concat('{"event_id":"ev-', event_id, '","event_id":', event_id, ',"usage":"none","meta":{"surprise":true}}')
+    END"""
+    return events_table(spark, sf_dir).select(
+        F.lit(AUDIT_STREAM).alias("stream"),
+        F.lit(AUDIT_SUBJECT).alias("subject"),
+        (F.col("event_id") + 1).alias("seq"),
+        F.col("ts").alias("published_at"),
+        F.encode(F.expr(text), "UTF-8").alias("payload"),
+    )
+
+
 def redelivered(raw: DataFrame) -> DataFrame:
     """Every message once, and those with ``seq % 10 = 3`` a second time, unchanged."""
     return raw.unionAll(raw.filter(F.col("seq") % 10 == 3))

@@ -34,16 +34,19 @@ def of_stream(raw: DataFrame, stream: str | None) -> DataFrame:
     return raw if stream is None else raw.filter(F.col("stream") == stream)
 
 
-def last_messages(raw: DataFrame, n: int = DEFAULT_LAST) -> DataFrame:
+def last_messages(raw: DataFrame, n: int = DEFAULT_LAST, zones: DataFrame | None = None) -> DataFrame:
     """The last ``n`` sequences of a stream, by arithmetic and not by counting records.
 
     ``raw`` is the whole stream: gaps, or a subject filter applied afterwards,
     leave fewer than ``n``.  The bound is a subquery of one value that runs
-    first and is pushed to the scan, so older row groups are not opened.
+    first and is pushed to the scan, so older row groups are not opened.  With the stream's
+    ``zones`` (``sources.zones``) the newest sequence is taken from that map, as far as it has been recorded,
+    and the messages are read once.
     """
     if n <= 0:
         n = DEFAULT_LAST
-    return raw.filter(F.col("seq") >= raw.select(F.max("seq") - (n - 1)).scalar())
+    newest = raw.select(F.max("seq") - (n - 1)) if zones is None else zones.select(F.max("greatest") - (n - 1))
+    return raw.filter(F.col("seq") >= newest.scalar())
 
 
 def since_age(raw: DataFrame, age: dt.timedelta, now: dt.datetime | None = None) -> DataFrame:
@@ -51,13 +54,13 @@ def since_age(raw: DataFrame, age: dt.timedelta, now: dt.datetime | None = None)
     return raw.filter(f"published_at >= {instant_literal((now or dt.datetime.now(dt.timezone.utc)) - age)}")
 
 
-def start_at(raw: DataFrame, start: Start, now: dt.datetime | None = None) -> DataFrame:
+def start_at(raw: DataFrame, start: Start, now: dt.datetime | None = None, zones: DataFrame | None = None) -> DataFrame:
     """Messages from where the tail begins: all of them, else by age, else the last so many."""
     if start.from_start:
         return raw
     if start.age is not None:
         return since_age(raw, start.age, now)
-    return last_messages(raw, start.last)
+    return last_messages(raw, start.last, zones)
 
 
 def _begin(since: str | int | None, from_start: bool) -> Start:
@@ -77,6 +80,7 @@ def tail_rows(
     from_start: bool = False,
     filters: Iterable[str] | Mapping[str, str] = (),
     now: dt.datetime | None = None,
+    zones: DataFrame | None = None,
 ) -> DataFrame:
     """The rows a tail shows, before rendering: ``seq``, ``idx`` and the lake columns.
 
@@ -84,7 +88,8 @@ def tail_rows(
     is ``seq, idx``; sorting is left to whoever needs it.
     """
     start, filters = _begin(since, from_start), parse_filters(filters)
-    messages = filter_subject(start_at(of_stream(raw, stream), start, now), subject)
+    zones = None if zones is None else of_stream(zones, stream)
+    messages = filter_subject(start_at(of_stream(raw, stream), start, now, zones), subject)
     return _matching(decode(messages, envelope), filters)
 
 
@@ -99,10 +104,12 @@ def tail(
     pretty: bool = False,
     no_detail: bool = False,
     now: dt.datetime | None = None,
+    zones: DataFrame | None = None,
 ) -> Tail:
     """Look back into a stream: a JSON line for every matching row, and a note for every unreadable event."""
     start, filters = _begin(since, from_start), parse_filters(filters)
-    messages = filter_subject(start_at(of_stream(raw, stream), start, now), subject)
+    zones = None if zones is None else of_stream(zones, stream)
+    messages = filter_subject(start_at(of_stream(raw, stream), start, now, zones), subject)
     return _shown(decode(messages, envelope), filters, pretty, no_detail)
 
 

@@ -197,3 +197,18 @@ def test_subjects(spark):
         with pytest.raises(ValueError):
             filter_subject(df, bad)
     assert [(r.subject_tenant, r.subject_app) for r in subject_parts(df, "a.b").collect()][:2] == [("t", "app"), (None, None)]
+
+
+def test_a_zone_map_gives_the_newest_sequence_without_a_look_at_messages(spark, messages, tmp_path):
+    landing, zones = f"{tmp_path}/raw", f"{tmp_path}/zones"
+    for stream, seqs in (("A", (5, 1)), ("B", (900, 0)), ("A", (3, 8))):
+        messages(*[(s, batch(event(f"e-{s}"))) for s in seqs], stream=stream).coalesce(1).write.mode("append").parquet(landing)
+        rl.record_zones(spark, landing, zones)
+    rl.record_zones(spark, landing, zones)
+    held = rl.read_zones(spark, zones)
+    assert {(r.stream, r.least, r.greatest, r.messages) for r in held.collect()} == {("A", 1, 5, 2), ("B", 900, 900, 2), ("A", 3, 8, 2)}
+    raw = rl.raw_table(spark, landing)
+    shown = rl.tail_rows(raw, rl.BATCH, stream="A", since=4, zones=held)
+    assert sorted(r.seq for r in shown.collect()) == [5, 8]
+    plan = plan_of(rl.last_messages(raw, 4, held))
+    assert plan.count(f"{tmp_path}/raw") == 1 and plan.count(f"{tmp_path}/zones") >= 1

@@ -111,3 +111,23 @@ def test_every_difference_is_told_however_many_there_are(spark, messages):
     rows = told.value.differences.collect()
     assert {r.field for r in rows if r.side == "contract"} == {f"made_up_{i:02}" for i in range(60)}
     assert [(r.side, r.field) for r in rows if r.side != "contract"] == [("ledger", "max_age")]
+
+
+def test_an_event_with_a_doubled_key_is_looked_at(spark, messages):
+    doubled = b'{"event_id":"a","tags":{"k":"1","k":"2"},"surprise":[1],"usage":{"input_tokens":1,"input_tokens":"x","more":{"y":1}},"a\\"b:{":1}'
+    observed = rl.observed_fields(messages(b'{"events":[ ' + doubled + b' ,{"usage":5},{}]}'), rl.BATCH)
+    found = rl.contract_drift(observed).filter("problem <> 'not carried'")
+    assert drift(found) == {
+        ("surprise", "not a column", "list", 1),
+        ("usage.input_tokens", "other kind", "text", 1),
+        ("usage.more", "not a column", "object", 1),
+        ('a"b:{', "not a column", "integer", 1),
+        ("usage", "other kind", "integer", 1),
+    }
+
+
+def test_a_key_that_is_doubled_counts_once_for_each_kind(messages):
+    observed = rl.observed_fields(messages(b'{"event_id":"a","event_id":"b","event_id":null,"n":1,"n":1.5,"n":2}'), rl.EVENT)
+    assert {(r.field, r.kind, r.events) for r in observed.collect()} == {
+        ("event_id", "text", 1), ("event_id", "null", 1), ("n", "integer", 1), ("n", "number", 1)
+    }
