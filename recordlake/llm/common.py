@@ -31,7 +31,7 @@ def discard(*tables: DataFrame) -> None:
         jvm = table.sparkSession._jvm
         path = jvm.org.apache.hadoop.fs.Path(table.scratch)
         path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-    jvm.System.gc()
+    SparkSession.active()._jvm.System.gc()
 
 
 def packed(df: DataFrame) -> Column:

@@ -134,11 +134,14 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
     wanted = opened.groupBy("key").agg(F.collect_list(F.struct("first", "last", "run", "n")).alias("opened"))
     strings = texts.join(wanted, "key").dropDuplicates(["key"]).mapInArrow(_string_rows, "hash long, run long, start long, n int")
     strings = written(strings, "substring-strings")
-    twice = strings.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash")
+    # The shuffle of the texts is of no more use, and neither is that of the counts once they are written.
+    discard()
+    twice = written(strings.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash"), "substring-twice")
+    discard()
     single = strings.where("n = 1").join(twice, "hash").groupBy("run").agg(F.collect_list("start").alias("starts"))
     single = single.join(opened.select("run", "key"), "run").select("key", F.explode("starts").alias("first"))
     single = written(single, "substring-single")
-    discard(strings, opened)
+    discard(strings, twice, opened)
     return covered.unionByName(single.withColumn("last", F.col("first"))).groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("covers"))
 
 
