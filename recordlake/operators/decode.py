@@ -133,10 +133,55 @@ def _unfit(event: str, time: str) -> str:
     return " OR ".join(f"coalesce({check}, false)" for check in checks)
 
 
-def _reason(event: str, time: str) -> str:
+#: A value of another kind than text behind the name of a text field, or of a list where a text is due.
+_TEXT_NAMES = "|".join(c.source for c in COLUMNS if isinstance(c.wire, T.StringType))
+_OTHER_KIND = f'"({_TEXT_NAMES})"\\s*:\\s*[^"\\sn]'
+_TYPED = [c.source for c in COLUMNS if c.wire in (T.StringType(), TEXT_MAP, TEXT_LIST) and "." not in c.source]
+
+
+def _as_sent(event: str, text: str, name: str) -> str:
+    """True when the only mention of a map or list in ``text`` is the one its parsed texts are written as."""
+    mention = literal(f'"{name}"')
+    once = f"length({text}) - length(replace({text}, {mention}, '')) = {len(name) + 2}"
+    written = f"contains({text}, concat({mention}, ':', to_json({event}.{name})))"
+    return f"(coalesce(size({event}.{name}), -1) <= 0 OR {once} AND {written})"
+
+
+def _doubtful(event: str, text: str) -> str:
+    """False only for events whose text fields are plainly texts; all others are looked at by ``_mistyped``.
+
+    The parser reads ``7`` and ``{"x":1}`` as the texts ``'7'`` and ``'{"x":1}'``, so the kind of a
+    value has to be found in the text itself.  A quote inside of a value is always escaped there, so
+    a bare ``"name"`` before a colon is a key.
+    """
+    collections = [_as_sent(event, text, c.source) for c in COLUMNS if c.wire in (TEXT_MAP, TEXT_LIST)]
+    return f"""contains({text}, '\\\\u') OR {text} RLIKE r'{_OTHER_KIND}' OR NOT ({" AND ".join(collections)})"""
+
+
+def _mistyped(text: str) -> str:
+    """True when a text field, a tag or an element of a list of texts holds a value of another kind; null is absent."""
+    shape = "struct<" + ",".join(f"{name}:variant" for name in _TYPED) + ",_corrupt:string>"
+    kinds = ["k._corrupt IS NOT NULL"]
+    for c in COLUMNS:
+        if c.source not in _TYPED:
+            continue
+        kind = f"schema_of_variant(k.{c.source})"
+        if c.wire == TEXT_MAP:
+            tags = f"map_values(try_cast(k.{c.source} AS map<string,variant>))"
+            kinds.append(f"{kind} NOT IN ('OBJECT<>', 'VOID') AND coalesce(exists({tags}, v -> schema_of_variant(v) <> 'STRING'), true)")
+        elif c.wire == TEXT_LIST:
+            kinds.append(f"{kind} NOT IN ('ARRAY<STRING>', 'ARRAY<VOID>', 'VOID')")
+        else:
+            kinds.append(f"{kind} NOT IN ('STRING', 'VOID')")
+    wrong = " OR ".join(f"coalesce({kind}, false)" for kind in kinds)
+    return f"exists(array({_from_json(text, shape)}), k -> {wrong})"
+
+
+def _reason(event: str, time: str, text: str) -> str:
     """The one reason an event is rejected for, in the order parse, id, time; NULL for a good event."""
     return f"""CASE
       WHEN {_unfit(event, time)} THEN '{UNMARSHAL}'
+      WHEN CASE WHEN {_doubtful(event, text)} THEN {_mistyped(text)} ELSE false END THEN '{UNMARSHAL}'
       WHEN coalesce({event}.event_id, '') = '' THEN '{NO_EVENT_ID}'
       WHEN {time} IS NULL OR {time} = TIMESTAMP_NTZ '{ZERO_TIME}' THEN '{NO_TIME}'
     END"""
@@ -191,7 +236,7 @@ def decode(raw: DataFrame, envelope: str, keep_empty: bool = False, beside: tupl
     events = event_texts(raw, envelope, keep_empty)
     parsed = events.selectExpr("*", f"CASE WHEN _fault IS NULL THEN {_parsed('_text')} END AS _event")
     timed = parsed.selectExpr("*", f"{parse_instant('_event.time')} AS _time")
-    reason = f"CASE WHEN idx IS NULL THEN NULL WHEN _fault IS NOT NULL THEN '{UNMARSHAL}' ELSE {_reason('_event', '_time')} END"
+    reason = f"CASE WHEN idx IS NULL THEN NULL WHEN _fault IS NOT NULL THEN '{UNMARSHAL}' ELSE {_reason('_event', '_time', '_text')} END"
     cells = ", ".join(f"'{c.name}', {_lake_value(c)}" for c in COLUMNS)
     error = f"""CASE
       WHEN _fault IS NOT NULL THEN _fault
@@ -249,8 +294,9 @@ def dispositions(raw: DataFrame, envelope: str) -> DataFrame:
         split, texts = _split(raw), "coalesce(_events, array())"
     else:
         split, texts = event_texts(raw, envelope), "array(_text)"
-    read = f"transform(transform({texts}, t -> {_parsed('t')}), e -> named_struct('event', e, 'time', {parse_instant('e.time')}))"
-    reasons = f"transform({read}, r -> {_reason('r.event', 'r.time')})"
+    parsed = f"transform({texts}, t -> named_struct('text', t, 'event', {_parsed('t')}))"
+    read = f"transform({parsed}, p -> named_struct('text', p.text, 'event', p.event, 'time', {parse_instant('p.event.time')}))"
+    reasons = f"transform({read}, r -> {_reason('r.event', 'r.time', 'r.text')})"
     counted = split.selectExpr("stream", "subject", "seq", "_fault", f"CASE WHEN _fault IS NULL THEN {reasons} END AS _reasons")
     tallied = counted.selectExpr(
         "stream",

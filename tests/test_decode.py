@@ -235,3 +235,36 @@ def test_a_spaced_message_of_many_deep_events_loses_none(messages):
     many = [single(event(f"e{i}", x=[i, {"y": [i]}])) for i in range(3000)]
     raw = messages(b'{"events": [' + b", ".join([*many, deep]) + b"]}")
     assert rl.to_rows(rl.decode(raw, rl.BATCH)).count() == 3001 and rejects(raw) == []
+
+
+OTHER_KINDS = [
+    '"tenant":{"x":1}',
+    '"tenant":[1,2]',
+    '"app" : true',
+    '"feature":7',
+    '"ten\\u0061nt":7',
+    '"tenant":{"a":1,"a":2}',
+    '"tags":{"k":1}',
+    '"tags":{"k":"1","j":{"k":"1"}}',
+    '"tags":"k"',
+    '"policy_violations":["a",1]',
+    '"policy_violations":[["a"]]',
+    '"more":{"tags":{"k":"1"}},"tags":{"k":1}',
+]
+
+
+@pytest.mark.parametrize("field", OTHER_KINDS)
+def test_another_kind_of_value_is_no_text(messages, field):
+    bad = f'{{"event_id":"b","time":"2026-09-29T12:00:00Z",{field}}}'
+    raw = messages(b'{"events":[' + single(event("a")) + b"," + bad.encode() + b"]}")
+    assert [r.event_id for r in rl.to_rows(rl.decode(raw, rl.BATCH)).collect()] == ["a"]
+    (reject,) = rl.to_rejects(rl.decode(raw, rl.BATCH)).collect()
+    assert (reject.idx, reject.reason, bytes(reject.payload)) == (1, "unmarshal", bad.encode())
+    assert [(d.rows, d.rejects) for d in rl.dispositions(raw, rl.BATCH).collect()] == [(1, 1)]
+
+
+def test_texts_that_look_like_other_kinds_are_texts(messages):
+    looks = ['{"x":1}', "[1,2]", "true", "7", '"tenant":7', "null", "\\u0061"]
+    kept = [event(str(i), tenant=t, feature=None, tags={"k": t, "tags": t}, policy_violations=[t]) for i, t in enumerate(looks)]
+    rows = rl.to_rows(rl.decode(messages(batch(*kept)), rl.BATCH)).collect()
+    assert [(r.tenant, json.loads(r.tags_json)["k"], json.loads(r.policy_violations), r.feature) for r in rows] == [(t, t, [t], "") for t in looks]
