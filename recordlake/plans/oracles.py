@@ -308,5 +308,43 @@ _BODIES["admit_streams"] = f"""{_BOTH}
 SELECT stream, seq, sum(bytes) OVER (PARTITION BY stream ORDER BY seq)
   <= CASE stream WHEN 'LEDGER' THEN {BUDGETS['LEDGER']} ELSE {BUDGETS['AUDIT'] - BUDGET // 4} END AS accepted FROM both_streams"""
 
+_BODIES["decode_text_kinds"] = """, sent AS (
+  SELECT *, CASE event_id % 9 WHEN 0 THEN '"tenant":"' || user_id || '"' WHEN 1 THEN '"tenant":{"x":' || user_id || '}'
+    WHEN 2 THEN '"tenant" : [' || user_id || ']' WHEN 3 THEN '"tenant":' || user_id WHEN 4 THEN '"tags":{"k":"1","n":' || user_id || '}'
+    WHEN 5 THEN '"policy_violations":["a",' || user_id || ']' WHEN 6 THEN '"tenant":false' END AS field FROM f)
+SELECT event_id + 1 AS seq,
+  CASE event_id % 9 WHEN 0 THEN CAST(user_id AS VARCHAR) WHEN 7 THEN '{"x":' || user_id || '}' ELSE '' END AS tenant,
+  CASE event_id % 9 WHEN 7 THEN '{"k":"' || user_id || '"}' WHEN 0 THEN '{}' WHEN 8 THEN '{}' ELSE '' END AS tags_json,
+  CASE WHEN event_id % 9 IN (0, 7, 8) THEN '' ELSE 'unmarshal' END AS reason,
+  CASE WHEN event_id % 9 IN (0, 7, 8) THEN 0
+    ELSE strlen('{"event_id":"ev-' || event_id || '","time":"' || replace(CAST(ts AS VARCHAR), ' ', 'T') || 'Z",' || field || '}') END AS bytes
+FROM sent"""
+_BODIES["decode_whole_rejects"] = """, numbered AS (SELECT seq, CAST(count(*) AS INTEGER) AS n FROM f GROUP BY seq)
+SELECT seq, n AS idx, 'missing_event_id' AS reason, '{"event_id":"","n":' || seq || '}' AS payload FROM numbered
+UNION ALL SELECT seq, n + 1, 'missing_time', '{"event_id":"x-' || seq || '"}' FROM numbered
+UNION ALL SELECT seq, n + 2, 'unmarshal', '{"event_id":"y-' || seq || '","time":"2024-01-01T00:00:00Z","cost_usd":"zz"}' FROM numbered
+UNION ALL SELECT seq, n + 3, 'unmarshal', '{"event_id":"z-' || seq || '","time":"2024-01-01T00:00:00Z","tenant":{"n":' || seq || '}}' FROM numbered
+UNION ALL SELECT seq + 1000000000, -1, 'unmarshal', 'not json' FROM numbered WHERE seq % 10 = 0"""
+_BODIES["usage_whole_by_tenant_day"] = f"SELECT {_USAGE} FROM t GROUP BY 1, 2"
+_BODIES["drain_whole"] = f"SELECT {_row(SENT)}, CAST(ts AS DATE) AS date FROM t"
+_BODIES["drain_redelivery"] = """SELECT 'row' AS kind, 'ev-' || event_id AS id, CAST(2 AS BIGINT) AS copies FROM good
+UNION ALL SELECT 'letter', stream || '-' || seq || '-' || idx, 1 FROM rejects"""
+_BODIES["drain_redelivery_deduped"] = _BODIES["usage_by_tenant_day"]
+_BODIES["drain_order"] = """, counts AS (SELECT (SELECT count(*) FROM rejects) AS dead, (SELECT count(*) FROM good) AS rows),
+attempts AS (SELECT * FROM (VALUES (1, 0, 'dead'), (1, 1, 'flushes'), (2, 2, 'dead'), (2, 3, 'rows'), (2, 4, 'flushes'),
+  (3, 5, 'dead'), (3, 6, 'rows'), (3, 7, 'flushes')) AS a(attempt, step, what))
+SELECT CAST(attempt AS INTEGER) AS attempt, CAST(step AS INTEGER) AS step, what,
+  CASE what WHEN 'dead' THEN dead WHEN 'rows' THEN rows ELSE CASE WHEN attempt = 3 THEN 1 ELSE 0 END END AS n FROM attempts, counts"""
+_BODIES["drain_rejects_only"] = """SELECT CAST(0 AS BIGINT) AS flush_id, (SELECT count(*) FROM good) AS rows,
+  (SELECT count(*) FROM rejects) AS rejects, true AS wrote_parts
+UNION ALL SELECT 1, 0, (SELECT count(*) FROM raw), false"""
+_BODIES["lake_prefixes"] = f"""SELECT 'ledger' AS prefix, 'ev-' || event_id AS event_id, {_LAKE} AS app FROM good
+UNION ALL SELECT 'audit', 'ev-' || event_id, {_LAKE} FROM t WHERE fault IS NULL"""
+_BODIES["lake_half_written"] = """SELECT 'ev-' || event_id AS event_id, substr(lpad(CAST(user_id AS VARCHAR), 5, '0'), 4, 2) AS app,
+  CAST(ts AS DATE) AS date FROM f"""
+_BODIES["tail_precedence"] = f"SELECT unnest(['{LAST}', '{AGE}']) AS since, seq, idx FROM good"
+_BODIES["drain_after_follow"] = """SELECT 'row' AS kind, 'ev-' || event_id AS id FROM good
+UNION ALL SELECT 'letter', stream || '-' || seq || '-' || idx FROM rejects"""
+
 ORACLES: dict[str, str] = {name: PRELUDE + body for name, body in _BODIES.items()}
 ORACLES["drain_row_bounded"] = ORACLES["drain_row_bounded"].replace("WITH f AS", "WITH RECURSIVE f AS", 1)

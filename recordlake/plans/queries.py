@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -149,6 +150,65 @@ def recorded(spark: SparkSession, sf_dir: str) -> str:
     return _derived(spark, sf_dir, "recorded", make)
 
 
+def whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landing table in which every event of the table is a good one of some message, and faults are extras."""
+    path = _derived(spark, sf_dir, "whole-raw", lambda p: fx.land(spark, fx.whole_messages(spark, sf_dir), p))
+    return rl.raw_table(spark, path)
+
+
+class StoreDown(Exception):
+    """What the writers of the redelivery queries fail with, once each."""
+
+
+def redelivered_drain(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of a drain that failed at its dead letters, then after its rows, and then went through.
+
+    Each attempt takes all messages as one batch.  ``notes`` tells what every attempt found and wrote, in order.
+    """
+
+    def make(root: str) -> None:
+        landing = _derived(spark, sf_dir, "ledger-raw", lambda p: fx.land(spark, fx.raw_messages(spark, sf_dir), p))
+        notes: list[tuple[int, int, str, int]] = []
+
+        def attempt(number: int) -> None:
+            def told(what: str, n: int) -> None:
+                notes.append((number, len(notes), what, n))
+
+            def dead(letters: DataFrame, batch_id: int) -> None:
+                told("dead", letters.count())
+                if number == 1:
+                    raise StoreDown("dead letters")
+                rl.write_dead(letters, f"{root}/dead", origin="ledger")
+
+            def rows(found: DataFrame, batch_id: int) -> None:
+                told("rows", found.count())
+                rl.write_lake(found, f"{root}/lake", "ledger")
+                if number == 2:
+                    raise StoreDown("rows")
+
+            query = rl.drain(
+                rl.raw_stream(spark, landing, max_files=None),
+                rl.BATCH,
+                lake=rows,
+                dead=dead,
+                checkpoint=f"{root}/checkpoint",
+                flush_log=f"{root}/flushes",
+                available_now=True,
+            )
+            try:
+                query.awaitTermination()
+            except StreamingQueryException as failed:
+                if StoreDown.__name__ not in str(failed):
+                    raise
+            told("flushes", rl.read_flushes(spark, f"{root}/flushes").count())
+
+        for number in (1, 2, 3):
+            attempt(number)
+        spark.createDataFrame(notes, "attempt int, step int, what string, n long").write.parquet(f"{root}/notes")
+
+    return _derived(spark, sf_dir, "redelivered", make)
+
+
 def _readable(df: DataFrame) -> DataFrame:
     """Payload bytes as text, for comparison."""
     return df.withColumn("payload", F.col("payload").cast("string"))
@@ -562,6 +622,136 @@ def policy_diff(spark, sf_dir):
     return rl.policy_diff(rl.policy_rows(spark, {"ledger": HELD_POLICY}), held)
 
 
+def decode_text_kinds(spark, sf_dir):
+    """Events with values of every kind where texts are due: rows by their texts, rejects by their bytes."""
+    path = _derived(spark, sf_dir, "kinds-raw", lambda p: fx.land(spark, fx.kinds_messages(spark, sf_dir), p))
+    decoded = rl.decode(rl.raw_table(spark, path), rl.EVENT)
+    rows = rl.to_rows(decoded, "seq").select("seq", "tenant", "tags_json", F.lit("").alias("reason"), F.lit(0).cast("long").alias("bytes"))
+    bad = rl.to_rejects(decoded)
+    empty = F.lit("")
+    return rows.unionAll(bad.select("seq", empty, empty, "reason", F.octet_length("payload").cast("long")))
+
+
+def decode_whole_rejects(spark, sf_dir):
+    """The faults beside the events of the whole landing table."""
+    rejects = rl.to_rejects(rl.decode(whole(spark, sf_dir), rl.BATCH))
+    return _readable(rejects).select("seq", "idx", "reason", "payload")
+
+
+def usage_whole_by_tenant_day(spark, sf_dir):
+    """Usage of every event of the table, from messages some of which arrived twice."""
+    return rl.usage_by_tenant_day(rl.dedupe(rl.to_rows(rl.decode(fx.redelivered(whole(spark, sf_dir)), rl.BATCH))))
+
+
+def drain_whole(spark, sf_dir):
+    """What a drain of the whole landing table put into the lake: all events of the table, whole."""
+
+    def make(root: str) -> None:
+        whole(spark, sf_dir)
+        landing = _derived(spark, sf_dir, "whole-raw", lambda p: fx.land(spark, fx.whole_messages(spark, sf_dir), p))
+        drain = rl.drain(
+            rl.raw_stream(spark, landing), rl.BATCH, f"{root}/lake", f"{root}/dead", f"{root}/checkpoint", available_now=True
+        )
+        drain.awaitTermination()
+
+    return rl.read_lake(spark, f"{_derived(spark, sf_dir, 'whole-drained', make)}/lake", "ledger")
+
+
+def drain_redelivery(spark, sf_dir):
+    """How often every event is in the lake, and every letter kept, after two failed attempts: no gap, and letters once."""
+    root = redelivered_drain(spark, sf_dir)
+    rows = rl.read_lake(spark, f"{root}/lake", "ledger").groupBy(F.col("event_id").alias("id")).agg(F.count("*").alias("copies"))
+    letters = rl.read_dead(spark, f"{root}/dead").groupBy(F.col("msg_id").alias("id")).agg(F.count("*").alias("copies"))
+    return rows.select(F.lit("row").alias("kind"), "*").unionAll(letters.select(F.lit("letter"), "*"))
+
+
+def drain_redelivery_deduped(spark, sf_dir):
+    """The usage that readers see after the same attempts."""
+    return rl.usage_by_tenant_day(rl.dedupe(rl.read_lake(spark, f"{redelivered_drain(spark, sf_dir)}/lake", "ledger")))
+
+
+def drain_order(spark, sf_dir):
+    """What each of the attempts did, in order: letters before rows, rows before the log."""
+    notes = spark.read.schema("attempt int, step int, what string, n long").parquet(f"{redelivered_drain(spark, sf_dir)}/notes")
+    return notes.select("attempt", "step", "what", "n")
+
+
+def drain_rejects_only(spark, sf_dir):
+    """The parts of a lake after one flush with rows and one that has nothing but rejects; the latter adds no file."""
+
+    def make(root: str) -> None:
+        raw = messages(spark, sf_dir)
+        spoilt = raw.withColumn("payload", F.encode(F.concat(F.lit("no "), F.col("seq").cast("string")), "UTF-8"))
+        for batch_id, batch in enumerate((raw, spoilt)):
+            rl.flush(batch, batch_id, rl.BATCH, f"ledger-{batch_id}", f"{root}/lake", f"{root}/dead", "", f"{root}/flushes")
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/lake")
+            files.where("path LIKE '%.parquet'").select(F.lit(batch_id).alias("flush"), "path").write.mode("append").parquet(f"{root}/listed")
+
+    root = _derived(spark, sf_dir, "rejects-only", make)
+    listed = spark.read.schema("flush int, path string").parquet(f"{root}/listed")
+    new = listed.groupBy("path").agg(F.min("flush").alias("flush_id")).groupBy("flush_id").agg(F.count("*").alias("parts"))
+    log = rl.read_flushes(spark, f"{root}/flushes").join(new, "flush_id", "left")
+    return log.select("flush_id", "rows", "rejects", (F.coalesce("parts", F.lit(0)) > 0).alias("wrote_parts"))
+
+
+def lake_prefixes(spark, sf_dir):
+    """Two streams under one root, each behind its prefix, written by path and read back by URI."""
+
+    def make(root: str) -> None:
+        for raw, envelope, prefix in ((messages, rl.BATCH, "ledger"), (audit_messages, rl.EVENT, "audit")):
+            rl.write_lake(rl.to_rows(rl.decode(raw(spark, sf_dir), envelope)), root, prefix)
+
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(_derived(spark, sf_dir, "prefixes", make))
+    store = path.getFileSystem(conf)
+    uri = path.makeQualified(store.getUri(), store.getWorkingDirectory()).toString()
+    sides = [rl.read_lake(spark, uri, prefix).select(F.lit(prefix).alias("prefix"), "event_id", "app") for prefix in ("ledger", "audit")]
+    return sides[0].unionAll(sides[1])
+
+
+def lake_half_written(spark, sf_dir):
+    """A lake whose apps are all digits and beside whose parts half-written ones stand."""
+
+    def make(root: str) -> None:
+        rows = fx.lake_rows(spark, sf_dir).withColumn("app", F.lpad(F.regexp_extract("run_id", "[0-9]+", 0), 5, "0").substr(4, 2))
+        rl.write_lake(rows, root, "ledger")
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for part in rl.lake_parts(spark, root, "ledger").orderBy("part").limit(20).collect():
+            path = jvm.org.apache.hadoop.fs.Path(f"{part['part']}.incomplete")
+            out = path.getFileSystem(conf).create(path)
+            out.write(bytearray(b"PAR1 and no more"))
+            out.close()
+
+    root = _derived(spark, sf_dir, "half-written", make)
+    return rl.read_lake(spark, root, "ledger").select("event_id", "app", "date")
+
+
+def tail_precedence(spark, sf_dir):
+    """A tail given two ways to begin: the start goes before an age and a number."""
+    sides = [
+        _tail(spark, sf_dir, from_start=True, since=since, now=NOW).select(F.lit(str(since)).alias("since"), "seq", "idx")
+        for since in (LAST, AGE)
+    ]
+    return sides[0].unionAll(sides[1])
+
+
+def drain_after_follow(spark, sf_dir):
+    """The lake of a drain that began after a follow had shown the same messages: looking consumes nothing."""
+
+    def make(root: str) -> None:
+        messages(spark, sf_dir).write.parquet(f"{root}/raw")
+        places = {name: f"{root}/{name}" for name in ("lines", "unreadable", "checkpoint")}
+        rl.follow(spark, f"{root}/raw", rl.BATCH, **places, from_start=True, available_now=True).awaitTermination()
+        drain = rl.drain(
+            rl.raw_stream(spark, f"{root}/raw"), rl.BATCH, f"{root}/lake", f"{root}/dead", f"{root}/drain", available_now=True
+        )
+        drain.awaitTermination()
+
+    root = _derived(spark, sf_dir, "after-follow", make)
+    drained_rows = rl.read_lake(spark, f"{root}/lake", "ledger").select(F.lit("row").alias("kind"), F.col("event_id").alias("id"))
+    return drained_rows.unionAll(rl.read_dead(spark, f"{root}/dead").select(F.lit("letter"), "msg_id"))
+
+
 def usage_by_tenant_day(spark, sf_dir):
     return rl.usage_by_tenant_day(rl.dedupe(rl.to_rows(rl.decode(twice(spark, sf_dir), rl.BATCH))))
 
@@ -627,6 +817,18 @@ QUERIES: dict[str, Query] = {
         contract_drift,
         observed_doubled,
         policy_diff,
+        decode_text_kinds,
+        decode_whole_rejects,
+        usage_whole_by_tenant_day,
+        drain_whole,
+        drain_redelivery,
+        drain_redelivery_deduped,
+        drain_order,
+        drain_rejects_only,
+        lake_prefixes,
+        lake_half_written,
+        tail_precedence,
+        drain_after_follow,
         usage_by_tenant_day,
     )
 }

@@ -131,6 +131,60 @@ def raw_messages(spark: SparkSession, sf_dir: str, envelope: str = BATCH, extra:
     ).select(*RAW_SCHEMA.fieldNames())
 
 
+#: Sequences of the messages that hold no events at all, beside those that hold the table's.
+EXTRA_FROM = 1_000_000_000
+
+
+def whole_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test event in a good message of its hundred; faults come beside them and take no event's place.
+
+    Each message ends with four faulty events more, and behind every tenth one comes a message that is no JSON.
+    """
+    placed = events_table(spark, sf_dir).selectExpr(
+        "*",
+        f"event_id div {PER_MESSAGE} + 1 AS seq",
+        f"CAST(event_id % {PER_MESSAGE} AS INT) AS idx",
+        *(f"false AS {flag}" for flag in ("f_bad", "f_noid", "f_notime")),
+    )
+    texts = placed.selectExpr("seq", "idx", "ts", f"{_event_text(False)} AS text")
+    whole = texts.groupBy("seq").agg(F.max("ts").alias("published_at"), F.array_sort(F.collect_list(F.struct("idx", "text"))).alias("events"))
+    faults = """array(
+      concat('{"event_id":"","n":', seq, '}'),
+      concat('{"event_id":"x-', seq, '"}'),
+      concat('{"event_id":"y-', seq, '","time":"2024-01-01T00:00:00Z","cost_usd":"zz"}'),
+      concat('{"event_id":"z-', seq, '","time":"2024-01-01T00:00:00Z","tenant":{"n":', seq, '}}'))"""
+    payload = f"""concat('{{"events":[', array_join(concat(events.text, {faults}), ','), ']}}')"""
+    named = [F.lit(STREAM).alias("stream"), F.concat(F.lit(f"{SUBJECT}.tenant-"), (F.col("seq") % 7).cast("string"), F.lit(".svc")).alias("subject")]
+    good = whole.select(*named, "seq", "published_at", F.encode(F.expr(payload), "UTF-8").alias("payload"))
+    beside = whole.filter("seq % 10 = 0").select(
+        *named, (F.col("seq") + EXTRA_FROM).alias("seq"), "published_at", F.encode(F.lit("not json"), "UTF-8").alias("payload")
+    )
+    return good.unionByName(beside)
+
+
+def kinds_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test event as a message of its own, with values of every kind where texts are due."""
+    field = """CASE event_id % 9
+      WHEN 0 THEN concat('"tenant":"', user_id, '"')
+      WHEN 1 THEN concat('"tenant":{"x":', user_id, '}')
+      WHEN 2 THEN concat('"tenant" : [', user_id, ']')
+      WHEN 3 THEN concat('"tenant":', user_id)
+      WHEN 4 THEN concat('"tags":{"k":"1","n":', user_id, '}')
+      WHEN 5 THEN concat('"policy_violations":["a",', user_id, ']')
+      WHEN 6 THEN '"tenant":false'
+      WHEN 7 THEN concat('"tenant":"{\\\\"x\\\\":', user_id, '}","tags":{"k":"', user_id, '"}')
+      ELSE '"tenant":null'
+    END"""
+    text = f"""concat('{{"event_id":"ev-', event_id, '","time":"', {rfc3339("ts")}, '",', {field}, '}}')"""
+    return events_table(spark, sf_dir).select(
+        F.lit(AUDIT_STREAM).alias("stream"),
+        F.lit(AUDIT_SUBJECT).alias("subject"),
+        (F.col("event_id") + 1).alias("seq"),
+        F.col("ts").alias("published_at"),
+        F.encode(F.expr(text), "UTF-8").alias("payload"),
+    )
+
+
 def odd_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every test event in messages that are spaced and spelled oddly: two of five events are good, in any spacing."""
     event = lambda *fields: "concat('{ ', " + ", ' ,\n ', ".join(fields) + ", ' }')"
