@@ -69,6 +69,27 @@ def test_substrings_equal_brute_force(docs):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("bucket", [1, 3, 7])
+def test_strings_are_compared_across_the_boundaries_of_buckets(spark, docs, monkeypatch, bucket):
+    texts = [("a" * i + "shared passage " * 60 + "b" * (i % 4) + str(i) * 300)[i % 3 :] for i in range(24)]
+    near = spark.createDataFrame([(1000 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = docs.select("doc_id", "text").unionByName(near)
+    whole = substring_dedup.dedup_substrings(rows).select("doc.doc_id", "n_removed", "n_spans", F.md5("kept")).collect()
+    monkeypatch.setattr(substring_dedup, "BUCKET", bucket)
+    split = substring_dedup.dedup_substrings(rows).select("doc.doc_id", "n_removed", "n_spans", F.md5("kept")).collect()
+    assert sorted(map(tuple, split), key=str) == sorted(map(tuple, whole), key=str)
+
+
+def test_multikey_quicksort_orders_rows_of_bytes():
+    rng = np.random.default_rng(3)
+    rows = rng.integers(0, 2, (500, 16), dtype=np.uint8) * rng.integers(0, 256, (500, 1), dtype=np.uint8)
+    order = substring_dedup.multikey_quicksort(rows)
+    texts = [r.tobytes() for r in rows[order]]
+    assert texts == sorted(texts) and sorted(order) == list(range(500))
+    for a, b, n in zip(texts, texts[1:], substring_dedup.shared_bytes(rows, order)[1:]):
+        assert a[:n] == b[:n] and (n == 16 or a[n] != b[n])
+
+
 def shingle_set(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} - {()}
