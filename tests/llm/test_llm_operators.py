@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
