@@ -13,8 +13,8 @@ only strings of equal anchors need comparing, and all the starts that share one
 3. Each bucket sorts its suffixes by multikey quicksort, and the bytes before them, read leftwards, likewise.
    Neighbours that share 400 - o bytes to the right, and o to the left, hold one string that starts o bytes
    before the anchor: in the order of suffixes the first are in one row, and the second tell them apart.
-4. Only the first and the last anchor of a bucket can go on in another one.  Their strings are compared
-   across boundaries by hash, with counts folded in each bucket first.
+4. Only a string whose bytes to the right are those of the first or the last suffix of a bucket can go on
+   in another bucket.  These are compared across boundaries by hash, with counts folded in each bucket first.
 5. Every document meets its repeated starts, and its bytes are cut.
 
 Splitters take in the bytes on both sides, so an anchor that a third of all documents share is spread over
@@ -172,10 +172,11 @@ def _classes(order: np.ndarray, shared: np.ndarray, size: int) -> np.ndarray:
 
 
 def repeated_strings(after: list[bytes], before: list[bytes], least: np.ndarray, most: np.ndarray, n: np.ndarray):
-    """For every suffix whether its string of each offset is repeated among these, and the order of suffixes.
+    """For every suffix whether its string of each offset is repeated among these, and its bytes shared with the edges.
 
     The string of offset o starts o bytes before the anchor.  A suffix that stands for
-    ``n`` of two or more repeats its strings by itself.
+    ``n`` of two or more repeats its strings by itself.  With them comes how many bytes to the right
+    each suffix shares with the first or the last one of their order, whichever are more.
     """
     right, left = _padded(after, WIDTH), _padded(before, _BEFORE)
     orders = multikey_quicksort(right), multikey_quicksort(left)
@@ -189,7 +190,12 @@ def repeated_strings(after: list[bytes], before: list[bytes], least: np.ndarray,
         to_left = _classes(orders[1], shared[1], o)[has]
         _, member = np.unique(to_right * (len(after) + 1) + to_left, return_inverse=True)
         found[has, o] = np.bincount(member, weights=n[has])[member] >= 2
-    return found, orders[0], right
+    edges = np.full(len(after), WIDTH, dtype=np.int64)
+    from_first, from_last = edges.copy(), edges.copy()
+    from_first[1:] = np.minimum.accumulate(shared[0][1:])
+    from_last[:-1] = np.minimum.accumulate(shared[0][:0:-1])[::-1]
+    edges[orders[0]] = np.maximum(from_first, from_last)
+    return found, edges
 
 
 _FOUND = "run long, least int, most int, hash long, n int"
@@ -205,7 +211,7 @@ def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = pa.Table.from_batches(held)
     after, before = table["after"].to_pylist(), table["before"].to_pylist()
     run, n, least, most = (table[c].to_numpy() for c in ("run", "n", "least", "most"))
-    found, order, right = repeated_strings(after, before, least, most, n)
+    found, edges = repeated_strings(after, before, least, most, n)
     edge = np.zeros((len(run), _BEFORE + 3), dtype=np.int8)
     edge[:, 1:-1] = found & (n == 1)[:, None]
     step = np.diff(edge, axis=1)
@@ -214,14 +220,11 @@ def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     none = lambda kind, size: pa.nulls(size, kind)
     ranges = [pa.array(run[at]), pa.array(begins, kinds[1]), pa.array(ends, kinds[2]), none(kinds[3], len(at)), none(kinds[4], len(at))]
     yield pa.RecordBatch.from_arrays(ranges, names)
-    outer = np.zeros(len(run), dtype=bool)
-    for end in (order[0], order[-1]):
-        outer |= (right[:, :GRAM] == right[end, :GRAM]).all(axis=1)
     folded: set[int] = set()
-    for i in np.flatnonzero(outer):
+    for i in np.flatnonzero(edges >= WIDTH - most):
         whole = np.frombuffer(before[i][::-1] + after[i], dtype=np.uint8)
-        hashes = rolling(whole, WIDTH).view(np.int64)[::-1]
-        offsets = np.arange(least[i], most[i] + 1)
+        offsets = np.arange(max(least[i], WIDTH - edges[i]), most[i] + 1)
+        hashes = rolling(whole, WIDTH).view(np.int64)[::-1][-len(offsets) :]
         twice = found[i, offsets] | (n[i] > 1)
         known = [h for h in hashes[twice].tolist() if h not in folded]
         folded.update(known)
