@@ -39,3 +39,9 @@ def write_lake(rows: DataFrame, root: str, prefix: str = "", max_records_per_fil
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.parquet(lake_path(root, prefix))
+
+
+def write_apart(rows: DataFrame, number: str, count: int, root: str, prefix: str = "") -> None:
+    """Append rows to the lake, those of every ``number`` from 0 to below ``count`` in parts of their own; a task holds one number's."""
+    dated = with_date(rows).select(number, *LAKE_SCHEMA.fieldNames()).repartitionById(count, F.col(number).cast("int")).drop(number)
+    dated.write.mode("append").partitionBy(*PARTITION_COLUMNS).option("compression", "zstd").parquet(lake_path(root, prefix))

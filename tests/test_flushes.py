@@ -47,6 +47,45 @@ def test_bounds_at_the_edges(spark, messages, tmp_path, limit):
     assert [r[4] for r in log(spark, tmp_path)] == ([4, 4, 4] if limit <= 4 else [12])
 
 
+def test_all_flushes_of_a_batch_are_landed_by_a_few_jobs_in_parts_of_their_own(spark, messages, tmp_path):
+    raw = messages(*[four(f"m{i}-") if i % 7 else b"junk" for i in range(40)])
+    spark.sparkContext.setJobGroup("flushes", "flushes of one batch")
+    try:
+        flush(raw, tmp_path, max_rows=4)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("flushes"))
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+    told = log(spark, tmp_path)
+    assert [r[0] for r in told] == list(range(34)) and {r[4] for r in told} == {4} and sum(r[5] for r in told) == 6
+    assert jobs < 100
+    rows = rl.read_lake(spark, f"{tmp_path}/lake", "ledger").select(F.regexp_extract("event_id", "m([0-9]+)-", 1).alias("m"), F.input_file_name().alias("part"))
+    assert [r["n"] for r in rows.groupBy("part").agg(F.countDistinct("m").alias("n")).collect()] == [1] * 34
+
+
+@pytest.mark.parametrize("limit", [1, 3, 10, 57])
+def test_flushes_of_many_ranges_are_those_of_a_walk_in_order(spark, messages, tmp_path, limit):
+    sizes = [(i * 7919) % 6 for i in range(90)]
+    raw = messages(*[batch(*[event(f"{i}-{k}") for k in range(n)]) for i, n in enumerate(sizes)])
+    flush(raw.repartition(5), tmp_path, max_rows=limit)
+    want, held = [[0, 0]], 0
+    for n in sizes:
+        if held >= limit:
+            want.append([0, 0])
+            held = 0
+        want[-1] = [want[-1][0] + 1, want[-1][1] + n]
+        held += n
+    assert [list(r[3:5]) for r in log(spark, tmp_path)] == want
+
+
+def test_a_batch_of_one_file_is_decoded_by_many_tasks(spark, messages, tmp_path):
+    spread = []
+    rl.flush(
+        messages(*[four(f"m{i}-") for i in range(40)]).coalesce(1), 0, rl.BATCH, "ledger",
+        lake=lambda rows, _: spread.append(rows.select(F.spark_partition_id().alias("p")).distinct().count()), dead=f"{tmp_path}/dead",
+    )
+    assert spread[0] > 1
+
+
 def test_parts_are_traced_to_their_messages_over_drains_and_repetitions(spark, messages, tmp_path):
     raw = messages((1, batch(event("a", app="x/y +%"), event("b", app=""))), (2, batch(event("c", "2026-10-01T00:00:00Z"), event("d"))), (70_000, batch(event("e"))))
     some = lambda *seqs: raw.filter(F.col("seq").isin(*seqs))
