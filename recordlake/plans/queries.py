@@ -127,25 +127,25 @@ def flushed_by_rows(spark: SparkSession, sf_dir: str) -> str:
 
 
 def recorded(spark: SparkSession, sf_dir: str) -> str:
-    """A folder with the messages landed in three files (``raw``), drained by two drains into one lake with a ``manifest``."""
+    """A folder with the messages landed in three deliveries (``raw``), each drained as it came by two drains into one lake with a ``manifest``."""
 
     def make(root: str) -> None:
         raw = messages(spark, sf_dir)
         last = raw.agg(F.max("seq")).first()[0]
         third = F.expr(f"CASE WHEN seq <= {last} div 3 THEN 0 WHEN seq <= 2 * {last} div 3 THEN 1 ELSE 2 END")
         for i in range(3):
-            raw.filter(third == i).coalesce(1).write.mode("append").parquet(f"{root}/raw")
-        for origin in ("ledger", "again"):
-            rl.drain(
-                rl.raw_stream(spark, f"{root}/raw", max_files=1),
-                rl.BATCH,
-                lake=f"{root}/lake",
-                dead=f"{root}/dead",
-                checkpoint=f"{root}/checkpoint-{origin}",
-                origin=origin,
-                manifest=f"{root}/manifest",
-                available_now=True,
-            ).awaitTermination()
+            raw.filter(third == i).write.mode("append").parquet(f"{root}/raw")
+            for origin in ("ledger", "again"):
+                rl.drain(
+                    rl.raw_stream(spark, f"{root}/raw", max_files=None),
+                    rl.BATCH,
+                    lake=f"{root}/lake",
+                    dead=f"{root}/dead",
+                    checkpoint=f"{root}/checkpoint-{origin}",
+                    origin=origin,
+                    manifest=f"{root}/manifest",
+                    available_now=True,
+                ).awaitTermination()
 
     return _derived(spark, sf_dir, "recorded", make)
 
