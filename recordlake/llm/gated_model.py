@@ -176,26 +176,36 @@ def _gradients(w: Weights, before: np.ndarray, target: np.ndarray, h: np.ndarray
     g = {k: np.zeros_like(v) for k, v in w.items()}
     g["kind"], g["kind_bias"] = s.T @ d, d.sum(axis=0)
     ds = d @ w["kind"].T
+    # Laid out by class once, so that each class is a stretch of them.
+    order = np.concatenate([some for _, some in members]) if members else np.zeros(0, dtype=np.int64)
+    laid, place, dlaid, first = s[order], t[order] - kind[order] * CLASS, np.empty((len(order), STATE), dtype=np.float32), 0
     for c, some in members:
-        e = _softmax(s[some] @ w["word"][c] + w["word_bias"][c])
-        e[np.arange(len(some)), t[some] - c * CLASS] -= 1
+        those = slice(first, first := first + len(some))
+        e = _softmax(laid[those] @ w["word"][c] + w["word_bias"][c])
+        e[np.arange(len(some)), place[those]] -= 1
         e /= m
-        g["word"][c], g["word_bias"][c] = s[some].T @ e, e.sum(axis=0)
-        ds[some] += e @ w["word"][c].T
+        g["word"][c], g["word_bias"][c] = laid[those].T @ e, e.sum(axis=0)
+        dlaid[those] = e @ w["word"][c].T
+    ds[order] += dlaid
     out = np.zeros((steps, width, STATE), dtype=np.float32)
     out[valid] = ds
     dx, dg = (np.zeros((steps, width, 3 * STATE), dtype=np.float32) for _ in range(2))
     dh = np.zeros((width, STATE), dtype=np.float32)
+    r, z, n, hn, held = (kept[k] for k in ("r", "z", "n", "hn", "h"))
+    by_n, by_r, by_z, turned = (1 - z) * (1 - n * n), hn * r * (1 - r), (held - n) * z * (1 - z), w["back"].T.copy()
     for i in range(steps - 1, -1, -1):
         a = active[i]
-        r, z, n, hn, held = (kept[k][i, :a] for k in ("r", "z", "n", "hn", "h"))
         back = dh[:a] + out[i, :a]
-        dn = back * (1 - z) * (1 - n * n)
-        dx[i, :a, :STATE] = dg[i, :a, :STATE] = dn * hn * r * (1 - r)
-        dx[i, :a, STATE : 2 * STATE] = dg[i, :a, STATE : 2 * STATE] = back * (held - n) * z * (1 - z)
+        dn = back * by_n[i, :a]
+        here = dg[i, :a]
+        np.multiply(dn, by_r[i, :a], out=here[:, :STATE])
+        np.multiply(back, by_z[i, :a], out=here[:, STATE : 2 * STATE])
+        np.multiply(dn, r[i, :a], out=here[:, 2 * STATE :])
         dx[i, :a, 2 * STATE :] = dn
-        dg[i, :a, 2 * STATE :] = dn * r
-        dh[:a] = back * z + dg[i, :a] @ w["back"].T
+        back *= z[i, :a]
+        back += here @ turned
+        dh[:a] = back
+    dx[..., : 2 * STATE] = dg[..., : 2 * STATE]
     flat_x = dx.reshape(-1, 3 * STATE)
     g["back"] = kept["h"].reshape(-1, STATE).T @ dg.reshape(-1, 3 * STATE)
     g["into"] = embedded.reshape(-1, EMBED).T @ flat_x

@@ -5,8 +5,7 @@
 2. The network of ``gated_model`` knows the ``VOCABULARY`` most frequent words.  It is trained in
    ``ROUNDS`` rounds: the documents of a round are spread over tasks, every task trains a copy of the
    weights on its own, and the copies are averaged by the tokens they saw, in a tree of
-   groups of ``FAN``.  Every training document takes part once, with a stretch of one ``SHARE`` th of
-   its text from a place chosen by hash, and at least ``LEAST`` characters; the stretches grow with the corpus.
+   groups of ``FAN``.  Every training document takes part once, with its whole text.
 3. Every text is scored whole, its state carried from window to window.  A word beyond the
    vocabulary has the probability of their class times its smoothed share in the counts
    of that class, which needs its count: known from the lookup, or from the join.
@@ -36,8 +35,6 @@ SMOOTHING = 0.1
 LOOKUP = 1 << 16
 VOCABULARY = 1024
 ROUNDS = 4
-SHARE = 16
-LEAST = 256
 FAN = 32
 #: The token that ends a document.
 END = np.uint64(0x656E64)
@@ -117,36 +114,19 @@ def _network_words(lookup: Lookup, hashes: np.ndarray) -> np.ndarray:
     return np.where(at >= 0, lookup.words[at], lookup.vocabulary).astype(np.int32)
 
 
-def stretches(docs: DataFrame) -> DataFrame:
-    """``text``, ``round``, ``cut`` (it begins inside the document) and ``open`` (it ends inside) of every training document."""
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.where(~held_out(folds=HELD_OUT_FOLDS)).select(text.alias("text"), F.xxhash64("doc_id").alias("h"), F.length(text).alias("chars"))
-    size = F.greatest(F.ceil(F.col("chars") / SHARE), F.lit(LEAST))
-    rows = rows.withColumn("size", size).withColumn("at", F.pmod("h", F.greatest(F.col("chars") - F.col("size") + 1, F.lit(1))))
-    return rows.select(
-        F.substr("text", (F.col("at") + 1).cast("int"), F.col("size").cast("int")).alias("text"),
-        F.pmod(F.xxhash64(F.lit(1), "h"), F.lit(ROUNDS)).cast("int").alias("round"),
-        (F.col("at") > 0).alias("cut"),
-        (F.col("at") + F.col("size") < F.col("chars")).alias("open"),
-    )
+def rounds(docs: DataFrame) -> DataFrame:
+    """``text``, whole, and ``round`` of every training document."""
+    turn = F.pmod(F.xxhash64(F.lit(1), F.xxhash64("doc_id")), F.lit(ROUNDS)).cast("int")
+    return docs.where(~held_out(folds=HELD_OUT_FOLDS)).select(F.coalesce("text", F.lit("")).alias("text"), turn.alias("round"))
 
 
 def _train_rows(weights: gated_model.Weights, lookup: Lookup, start: int, turn: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer, part = gated_model.Trainer(weights, seed=turn), None
-        for batch in batches:
-            part = batch.column("part")[0].as_py() if part is None and batch.num_rows else part
+        for batch in (piece for whole in batches for piece in _pieces(whole)):
+            part = batch.column("part")[0].as_py() if part is None else part
             hashes, offsets = tokens(batch.column("text"))
-            held = _network_words(lookup, hashes)
-            # A word that a stretch cuts is no word, and its end no end of a document.
-            keep = np.ones(len(held), dtype=bool)
-            keep[offsets[:-1][batch.column("cut").to_numpy(zero_copy_only=False)]] = False
-            opened = offsets[1:][batch.column("open").to_numpy(zero_copy_only=False)]
-            keep[opened - 1] = False
-            keep[np.maximum(opened - 2, 0)] = False
-            sizes = np.concatenate([[0], np.cumsum(keep)])
-            sizes = sizes[offsets[1:]] - sizes[offsets[:-1]]
-            trainer.learn(held[keep], np.concatenate([[0], np.cumsum(sizes)]), start)
+            trainer.learn(_network_words(lookup, hashes), offsets, start)
         if trainer.tokens:
             blob = np.frombuffer(gated_model.packed(trainer.w), dtype=np.float32) * np.float32(trainer.tokens)
             yield pa.RecordBatch.from_arrays(
@@ -177,9 +157,8 @@ def averaged(copies: DataFrame, weights: gated_model.Weights) -> gated_model.Wei
 
 def train(docs: DataFrame, weights: gated_model.Weights, lookup: Lookup, start: int) -> gated_model.Weights:
     """The weights after all rounds."""
-    some = written(stretches(docs), "lm-stretches")
     for turn in range(ROUNDS):
-        rows = some.where(F.col("round") == turn).select("text", "cut", "open", F.spark_partition_id().alias("part"))
+        rows = rounds(docs).where(F.col("round") == turn).select("text", F.spark_partition_id().alias("part"))
         copies = rows.mapInArrow(_train_rows(weights, lookup, start, turn), "part int, n double, sums binary")
         weights = averaged(copies, weights)
     return weights

@@ -163,6 +163,19 @@ def test_state_is_carried_and_probabilities_sum_to_one():
     assert np.exp(np.array(each) - gated_model.score(w, text[:50], np.array([0, 50]), 0)).sum() == pytest.approx(1, rel=1e-4)
 
 
+def test_every_token_of_every_training_document_is_learned_from(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * k) % 13}" for k in range(20 * (i % 9)))) for i in range(60)] + [(60, None), (61, "long " * 5000)], "doc_id long, text string")
+    counts = {r["hash"]: r["n"] for r in recurrent_scores.token_counts(docs).collect()}
+    held = np.array(sorted(counts, key=counts.get, reverse=True), dtype=np.int64)
+    lookup = recurrent_scores.Lookup(held.view(np.uint64), np.array([counts[h] for h in held.tolist()], dtype=np.float64), 8)
+    weights = gated_model.fresh(np.array([counts[h] for h in held[:8].tolist()], dtype=np.float64), 1.0)
+    learned = 0
+    for turn in range(recurrent_scores.ROUNDS):
+        rows = recurrent_scores.rounds(docs).where(F.col("round") == turn).select("text", F.spark_partition_id().alias("part"))
+        learned += sum(r["n"] for r in rows.mapInArrow(recurrent_scores._train_rows(weights, lookup, 0, turn), "part int, n double, sums binary").collect())
+    assert learned == sum(counts.values())
+
+
 @pytest.mark.parametrize("lookup", [1 << 16, 8])
 def test_scores_of_odd_rows(docs, monkeypatch, lookup):
     monkeypatch.setattr(recurrent_scores, "LOOKUP", lookup)
