@@ -13,6 +13,7 @@ from recordlake.functions.elements import kind_of, with_members
 from recordlake.operators.decode import event_texts
 from recordlake.schema import COLUMNS, DEAD_SCHEMA, RAW_SCHEMA
 from recordlake.sinks.deadletter import DEAD_SUBJECT
+from recordlake.sources.raw import spread_out
 
 # The kinds of JSON value, by the Spark type a lake column is read with.
 _KINDS = {
@@ -124,9 +125,10 @@ def observed_fields(raw: DataFrame, envelope: str) -> DataFrame:
     Read from every readable event.  Fields of ``usage`` are listed one by one, and ``usage`` itself with its kind.
     An event that holds a key twice does not parse; its fields are read off its text, each
     once for every kind its values have (those of a second ``usage`` count again).  Counts are folded per task before the
-    shuffle, over a few dozen names.
+    shuffle, over a few dozen names.  The payloads are laid out in even pieces first: reading them costs
+    far more than their bytes, so a few files would be a few long tasks.
     """
-    texts = event_texts(raw, envelope).selectExpr("CASE WHEN _fault IS NULL THEN _text END AS text")
+    texts = event_texts(spread_out(raw.select("payload")), envelope).selectExpr("CASE WHEN _fault IS NULL THEN _text END AS text")
     parsed = texts.selectExpr("text", "try_parse_json(text) AS event")
     spread = ["coalesce(map_entries(try_variant_get(event, '$', 'map<string,variant>')), array())"]
     for container in CONTAINERS:

@@ -10,6 +10,8 @@ from recordlake.schema import RAW_ID_SCHEMA, RAW_SCHEMA, SIZE_FIELD
 
 #: Files per micro-batch unless told otherwise.
 DEFAULT_MAX_FILES = 512
+#: Pieces that messages are read in, for every task that may run at once.
+SPREAD = 3
 
 
 def raw_table(spark: SparkSession, path: str, message_ids: bool = False, sizes: bool = False) -> DataFrame:
@@ -28,6 +30,11 @@ def with_sizes(raw: DataFrame) -> DataFrame:
     return raw.withColumn(SIZE_FIELD.name, F.coalesce(F.length("payload"), F.lit(0)).cast("long"))
 
 
+def spread_out(raw: DataFrame) -> DataFrame:
+    """The messages in pieces of about the same number, however few files they came in: decoding costs far more than its bytes tell."""
+    return raw.repartition(SPREAD * raw.sparkSession.sparkContext.defaultParallelism)
+
+
 def raw_stream(
     spark: SparkSession,
     path: str,

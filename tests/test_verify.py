@@ -1,8 +1,9 @@
 import pytest
 
 import recordlake as rl
-from conftest import batch, event
+from conftest import batch, event, plan_of, single
 from recordlake.operators.verify import PolicyMismatch
+from recordlake.sources.raw import SPREAD
 from test_decode import FULL
 
 
@@ -131,3 +132,10 @@ def test_a_key_that_is_doubled_counts_once_for_each_kind(messages):
     assert {(r.field, r.kind, r.events) for r in observed.collect()} == {
         ("event_id", "text", 1), ("event_id", "null", 1), ("n", "integer", 1), ("n", "number", 1)
     }
+
+
+def test_messages_of_one_file_are_observed_by_many_tasks(spark, messages):
+    raw = messages(*[single(event(f"e{i}")) for i in range(40)]).coalesce(1)
+    pieces = spark.sparkContext.defaultParallelism
+    assert f"RoundRobinPartitioning({SPREAD * pieces})" in plan_of(rl.observed_fields(raw, rl.EVENT))
+    assert {(r.field, r.events) for r in rl.observed_fields(raw, rl.EVENT).collect()} == {(f, 40) for f in ("event_id", "time", "tenant", "app")}
