@@ -148,6 +148,31 @@ def test_gradients_are_those_of_the_loss():
         assert g.ravel()[i] == pytest.approx((high - low) / 2e-3, rel=1e-3)
 
 
+def test_training_in_one_piece_is_adam_over_every_window():
+    rng = np.random.default_rng(5)
+    w = gated_model.fresh(np.arange(40, 0, -1).astype(float), 5.0)
+    tokens, offsets = rng.integers(0, 41, 400), np.array([0, 300, 330, 330, 400])
+    trainer = gated_model.Trainer(w, seed=3)
+    trainer.learn(tokens, offsets, 0)
+    assert trainer.tokens == 400
+    # All weights are stretches of one array, and gradients are put into another.
+    assert all(np.shares_memory(v, trainer.flat) for v in trainer.w.values())
+    assert all(np.shares_memory(v, trainer.slope) for v in trainer.g.values())
+    told, plain = w, {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in w.items()}
+    order = np.argsort(-np.diff(offsets), kind="stable")
+    starts, sizes, h = offsets[:-1][order], np.diff(offsets)[order], np.zeros((4, gated_model.STATE), dtype=np.float32)
+    for step, at in enumerate(range(0, 300, gated_model.TRUNCATED), 1):
+        width, steps = int((sizes > at).sum()), min(gated_model.TRUNCATED, 300 - at)
+        before, target, active, valid = gated_model._laid_out(tokens, starts[:width], sizes[:width], at, steps, 0)
+        g = gated_model._gradients(told, before, target, h[:width], active, valid)
+        scale = min(1.0, gated_model.CLIP / (np.sqrt(sum(float((v * v).sum()) for v in g.values())) + 1e-9))
+        plain = {k: (0.9 * m + 0.1 * scale * g[k], 0.99 * v + 0.01 * (scale * g[k]) ** 2) for k, (m, v) in plain.items()}
+        rate = gated_model.RATE * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
+        told = {k: (v - rate * plain[k][0] / (np.sqrt(plain[k][1]) + 1e-6)).astype(np.float32) for k, v in told.items()}
+    for name, v in told.items():
+        assert trainer.w[name] == pytest.approx(v, rel=1e-2, abs=2e-3), name
+
+
 def test_state_is_carried_and_probabilities_sum_to_one():
     rng = np.random.default_rng(2)
     w = gated_model.fresh(np.arange(40, 0, -1).astype(float), 5.0)
