@@ -38,6 +38,9 @@ WORDS = 5
 #: A link needs intersection * 100 >= PERCENT * union.
 PERCENT = 75
 BUCKETS = 1 << 18
+#: Bits that tell which keys a join may need, however many there are; and bits in one row of them.
+SLOTS = 1 << 23
+_SLOTS_A_ROW = 1 << 15
 
 
 def _prefix(held: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -129,22 +132,35 @@ def _close(a: Column, b: Column) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
+def _maybe(rows: DataFrame, key: list[str], needed: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not in ``needed``, before a shuffle ships them; none of the others is lost."""
+    slot = F.xxhash64(*key).bitwiseAND(F.lit(SLOTS - 1))
+    row, place = F.floor(slot / _SLOTS_A_ROW).alias("_row"), (slot % _SLOTS_A_ROW).alias("_place")
+    bits = written(needed.select(row, place).groupBy("_row").agg(F.bitmap_construct_agg("_place").alias("_bits")), "jaccard-bits")
+    met = rows.select("*", row, place).join(bits, "_row")
+    byte = F.conv(F.hex(F.expr("substring(_bits, int(_place div 8) + 1, 1)")), 16, 10).cast("int")
+    return met.where(byte.bitwiseAND(F.expr("shiftleft(1, int(_place % 8))")) != 0).select(*rows.columns)
+
+
 def _verified(pairs: DataFrame, keyed: DataFrame, chosen: DataFrame) -> DataFrame:
     """The ``pairs`` (``a``, ``b``: set keys) that link: by their sketches first, then by their whole sets."""
-    side = lambda s: chosen.select(F.col("set_key").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
-    told = pairs.distinct().join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b")
+    pairs = candidates = written(pairs.distinct(), "jaccard-candidates")
+    ends = lambda: pairs.select(F.col("a").alias("set_key")).unionByName(pairs.select(F.col("b").alias("set_key")))
+    some = _maybe(chosen, ["set_key"], ends())
+    side = lambda s: some.select(F.col("set_key").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
+    told = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b")
     pairs = written(told.mapInArrow(_sketch_rows, "a binary, b binary"), "jaccard-pairs")
-    needed = pairs.select(F.col("a").alias("set_key")).unionByName(pairs.select(F.col("b").alias("set_key"))).distinct()
-    rows = written(chosen.join(needed, "set_key").select("set_key", "doc_id", "text_key"), "jaccard-needed")
+    needed = ends().distinct()
+    rows = written(_maybe(chosen, ["set_key"], needed).join(needed, "set_key").select("set_key", "doc_id", "text_key"), "jaccard-needed")
     same = F.col("k.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("k.text_key") == F.col("c.text_key"))
-    texts = keyed.alias("k").join(rows.alias("c"), same).select("c.set_key", "k.text")
+    texts = _maybe(keyed, ["text_key"], rows).alias("k").join(rows.alias("c"), same).select("c.set_key", "k.text")
     held = written(texts.mapInArrow(_whole_rows, "set_key binary, held array<bigint>"), "jaccard-sets")
     met = pairs.join(held.select(F.col("set_key").alias("a"), F.col("held").alias("x")), "a")
     met = met.join(held.select(F.col("set_key").alias("b"), F.col("held").alias("y")), "b")
     same = F.size(F.array_intersect("x", "y"))
     linked = met.where(100 * same >= PERCENT * (F.size("x") + F.size("y") - same))
     links = written(linked.select("a", "b").distinct(), "jaccard-links")
-    discard(pairs, rows, held)
+    discard(candidates, pairs, rows, held)
     return links
 
 
@@ -190,7 +206,8 @@ def classes(rows: DataFrame) -> DataFrame:
     listed = hits.select("token", "before", "gid", "n", "pos").join(known.select("gid", "class").distinct(), "gid")
     mixed = listed.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("token")
     listed = written(listed.join(mixed, "token"), "jaccard-listed")
-    here = listed.groupBy("token", "class").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("pos").alias("pos"))
+    # Laid out by shingle once: the classes of a list and their pairs are then made where the list is.
+    here = listed.select("token", "class", "n", "pos").repartition("token").groupBy("token", "class").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("pos").alias("pos"))
     side = lambda df, s: df.select("token", *[F.col(c).alias(f"{c}_{s}") for c in df.columns if c != "token"])
     # Of two linked sets the first shingle that both prefixes hold leaves, in each set from its place on, the overlap
     # that the link needs.  So the test may be made at every shared shingle, and for classes by their extremes.
@@ -199,7 +216,10 @@ def classes(rows: DataFrame) -> DataFrame:
     fits &= room("most_a", "pos_a", "least_b") & room("most_b", "pos_b", "least_a")
     other = side(here, "b").withColumnRenamed("token", "token_b")
     kinds = side(here, "a").join(other, (F.col("token") == F.col("token_b")) & (F.col("class_a") < F.col("class_b")) & fits)
-    apart = kinds.select("token", "class_a", "class_b").join(side(listed, "a"), ["token", "class_a"]).join(side(listed, "b"), ["token", "class_b"])
+    kinds = written(kinds.select("token", "class_a", "class_b"), "jaccard-kinds")
+    met = kinds.select("token", F.col("class_a").alias("class")).unionByName(kinds.select("token", F.col("class_b").alias("class")))
+    fit = _maybe(listed, ["token", "class"], met)
+    apart = kinds.join(side(fit, "a"), ["token", "class_a"]).join(side(fit, "b"), ["token", "class_b"])
     # Two prefixes that also share the shingle before this one meet there, with more room: each run of shared shingles is met once.
     first_of_run = F.coalesce(F.col("before_a") != F.col("before_b"), F.lit(True))
     apart = apart.where(first_of_run & _close(F.col("n_a"), F.col("n_b")) & room("n_a", "pos_a", "n_b") & room("n_b", "pos_b", "n_a"))
@@ -212,7 +232,7 @@ def classes(rows: DataFrame) -> DataFrame:
         inner.select("gid", F.col("set_key").alias("b"), F.col("class").alias("cb")), "gid"
     )
     more = _verified(apart.unionByName(inner.where("ca < cb").select("a", "b")), keyed, chosen)
-    discard(hits, listed, known, first)
+    discard(hits, listed, kinds, known, first)
     last = written(components(links.unionByName(more)), "jaccard-classes")
     discard(links, more, chosen)
     told = sets.join(last.select(F.col("node").alias("set_key"), "component"), "set_key", "left")

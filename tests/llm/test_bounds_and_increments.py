@@ -78,3 +78,14 @@ def test_sketches_turn_away_no_pair_that_links():
     assert turned > 10
     data = np.frombuffer(b"one two three four five six", dtype=np.uint8)
     assert len(shingles(data, np.array([0, len(data)]), 5)[0]) == 2
+
+
+def test_rows_that_a_join_cannot_need_are_left_out_before_its_shuffle(spark):
+    rows = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("key"), F.when(F.col("id") != 3, F.col("id")).alias("id"))
+    needed = rows.where("id IS NULL OR id % 50 = 0").select("key", "id")
+    kept = jaccard_join._maybe(rows, ["key", "id"], needed.unionByName(needed))
+    assert kept.columns == ["key", "id"]
+    told = kept.collect()
+    assert {r.key for r in needed.collect()} <= {r.key for r in told}
+    assert 401 <= len(told) < 600
+    assert jaccard_join._maybe(rows, ["key"], needed.where("id < 0")).count() == 0
