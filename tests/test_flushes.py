@@ -86,6 +86,22 @@ def test_a_batch_of_one_file_is_decoded_by_many_tasks(spark, messages, tmp_path)
     assert spread[0] > 1
 
 
+@pytest.mark.parametrize("limit", [None, 600])
+def test_decoded_records_are_held_on_disk_and_in_small_batches(spark, messages, tmp_path, limit):
+    size, seen = "spark.sql.inMemoryColumnarStorage.batchSize", []
+    before = spark.conf.get(size)
+
+    def lake(rows, _):
+        held = rows._jdf.queryExecution().withCachedData().collectLeaves().head().cacheBuilder()
+        seen.append((rows.count(), held.storageLevel().useMemory(), held.cachedColumnBuffers().count()))
+
+    raw = messages(*[batch(*[event(f"{m}-{i}") for i in range(600)]) for m in range(2)])
+    rl.flush(raw, 0, rl.BATCH, "ledger", lake, f"{tmp_path}/dead", max_rows=limit)
+    assert [rows for rows, *_ in seen] == ([600, 600] if limit else [1_200])
+    assert not any(in_memory for _, in_memory, _ in seen) and all(batches >= 6 for *_, batches in seen)
+    assert spark.conf.get(size) == before
+
+
 def test_parts_are_traced_to_their_messages_over_drains_and_repetitions(spark, messages, tmp_path):
     raw = messages((1, batch(event("a", app="x/y +%"), event("b", app=""))), (2, batch(event("c", "2026-10-01T00:00:00Z"), event("d"))), (70_000, batch(event("e"))))
     some = lambda *seqs: raw.filter(F.col("seq").isin(*seqs))
