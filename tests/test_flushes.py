@@ -86,6 +86,16 @@ def test_a_batch_of_one_file_is_decoded_by_many_tasks(spark, messages, tmp_path)
     assert spread[0] > 1
 
 
+def test_messages_are_read_in_small_batches(spark, messages, tmp_path):
+    messages(*[b"{}"] * 2_000).coalesce(1).write.parquet(f"{tmp_path}/raw")
+    raw = rl.raw_table(spark, f"{tmp_path}/raw")
+    assert len(raw.collect()) == 2_000
+    scanned = raw._jdf.queryExecution().executedPlan()
+    while "ColumnarToRow" not in scanned.nodeName():
+        scanned = scanned.children().head()
+    assert scanned.metrics().get("numInputBatches").get().value() >= 8
+
+
 @pytest.mark.parametrize("limit", [None, 600])
 def test_decoded_records_are_held_on_disk_and_in_small_batches(spark, messages, tmp_path, limit):
     size, seen = "spark.sql.inMemoryColumnarStorage.batchSize", []
